@@ -396,9 +396,10 @@ def fallback_origin(spark, sf):
 
 
 def missing_periods(spark, sf):
+    """Years in which a company's statement lacks its headline total."""
     lines = lake.silver_lines(spark, sf)
-    tables = {code: lines.filter(F.col("GRUPO_DFP_TRATADO") == code) for code in ("BP", "DRE", "DFC")}
-    return audit.missing_periods(tables)
+    totals = {"BP": "1", "DRE": "3.01", "DFC": "6.05"}
+    return audit.missing_periods({code: lines.filter(F.col("CD_CONTA") == total) for code, total in totals.items()})
 
 
 def entities_by_dimension(spark, sf):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from finledger.plans.ledger import CHART, GRID, GROUP_TABLE, GROUP_TEXT, NATION_SECTOR
 
 CTES: dict[str, tuple[list[str], str]] = {}
@@ -27,7 +29,8 @@ def query(needs: str, body: str) -> str:
     if not order:
         return body.strip()
     head = ",\n".join(f"{name} AS (\n{CTES[name][1]}\n)" for name in order)
-    return f"WITH {head}\n{body.strip()}"
+    # AT (total assets) is a keyword in DuckDB.
+    return re.sub(r"(?<![\w\"'])AT(?![\w\"'])", '"AT"', f"WITH {head}\n{body.strip()}")
 
 
 def text(value: str | None) -> str:
@@ -162,4 +165,4 @@ def money(*columns: str) -> str:
 
 
 def rounded(*columns: str, places: int = 6) -> str:
-    return ", ".join(f"round({c}, {places}) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, {places}) + 0.0 AS {c}" for c in columns)

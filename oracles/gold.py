@@ -194,8 +194,7 @@ SELECT CNPJ_CIA, DENOM_CIA, SETOR, ANO_FISCAL, {', '.join(NOTE_INPUTS)}, {_typed
 """,
 )
 _dimensions = ", ".join(
-    f"list_sum(list_filter([{', '.join(notes)}], x -> x IS NOT NULL)) / nullif(len(list_filter([{', '.join(notes)}], x -> x IS NOT NULL)), 0) AS {name}"
-    for name, _, notes in SCORE_DIMENSIONS
+    f"list_sum([{', '.join(notes)}]) / nullif(list_count([{', '.join(notes)}]), 0) AS {name}" for name, _, notes in SCORE_DIMENSIONS
 )
 _weighted = " + ".join(f"coalesce(CAST({w} AS DOUBLE) * {n}, 0)" for n, w, _ in SCORE_DIMENSIONS)
 _weights = " + ".join(f"(CASE WHEN {n} IS NULL THEN 0 ELSE CAST({w} AS DOUBLE) END)" for n, w, _ in SCORE_DIMENSIONS)

@@ -347,7 +347,7 @@ LEFT JOIN ok d ON d.CNPJ_CIA = u.CNPJ_CIA AND d.DT_REFER = u.DT_REFER AND d.CD_C
     ).replace("\n, ok AS", ", ok AS"),
     "missing_periods": query(
         "silver",
-        """, have AS (SELECT DISTINCT CNPJ_CIA, GRUPO_DFP_TRATADO AS d, DT_FIM_EXERC_ANO AS y FROM silver WHERE GRUPO_DFP_TRATADO IN ('BP', 'DRE', 'DFC')),
+        """, have AS (SELECT DISTINCT CNPJ_CIA, GRUPO_DFP_TRATADO AS d, DT_FIM_EXERC_ANO AS y FROM silver WHERE CD_CONTA IN ('1', '3.01', '6.05')),
 span AS (SELECT CNPJ_CIA, unnest(range(min(y), max(y) + 1)) AS y FROM have GROUP BY CNPJ_CIA)
 SELECT s.CNPJ_CIA, CAST(s.y AS INTEGER) AS ANO, k.d AS DEMONSTRATIVO FROM span s, (VALUES ('BP'), ('DRE'), ('DFC')) k(d)
 WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.CNPJ_CIA = s.CNPJ_CIA AND h.y = s.y AND h.d = k.d)""",
