@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finledger.session import materialise
+
 # Rows a single task may hold for one group.
 IN_TASK_ROWS = 2_000_000
 BUCKETS = 64
@@ -31,15 +33,21 @@ def _attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner"
 
 
 def _bucketed(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with counts and bucket numbers, and the running row and value counts before each bucket."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    """Distinct values with counts and bucket numbers, and the running row and value counts before each bucket.
+
+    The counts are written once, as three steps read them. Cuts and sizes have at most ``BUCKETS`` entries per group;
+    they are written too, so that the planner knows their size and joins them without shuffling the values.
+    """
+    counted = materialise(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "value_counts"
+    )
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
     cuts = counted.groupBy(*keys).agg(
         F.sum("_n").alias("_total"),
         F.count("*").alias("_values"),
         F.percentile_approx(value, steps, 1000).alias("_cuts"),
     )
-    bucketed = _attach(counted, cuts, keys).withColumn(
+    bucketed = _attach(counted, materialise(cuts, "cuts"), keys).withColumn(
         "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
     ).drop("_cuts")
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -53,7 +61,7 @@ def _bucketed(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, Da
             }
         )
     )
-    return bucketed, sizes
+    return bucketed, materialise(sizes, "bucket_sizes")
 
 
 def group_quantiles(

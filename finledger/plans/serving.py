@@ -47,7 +47,7 @@ def statement(
         df = df.filter(F.col("CD_CONTA").isin(accounts))
     if max_level is not None:
         df = df.filter(digits("CD_CONTA") <= 2 * max_level - 1)
-    value = F.round(F.col("VL_CONTA_TRATADO") / SCALES[scale], 4)
+    value = F.round(F.col("VL_CONTA_TRATADO") / SCALES[scale], 8)
     return df.select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "DS_CONTA", value.alias("VALOR"))
 
 

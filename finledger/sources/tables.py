@@ -10,8 +10,12 @@ from finledger.schema import LOAD_LOG
 
 
 def append_by_year(df: DataFrame, path: str, year: str) -> None:
-    """Append to a table laid out by year. Rows of a year are brought together first, so files stay few and large."""
-    df.repartition(year).write.mode("append").partitionBy(year).parquet(path)
+    """Append to a table laid out by year.
+
+    Rows of a year are brought together first, so that files stay few; the rebalance splits a year that is too large
+    for one task, where a plain repartition would not.
+    """
+    df.hint("rebalance", year).write.mode("append").partitionBy(year).parquet(path)
 
 
 def rebuild(df: DataFrame, path: str) -> None:
