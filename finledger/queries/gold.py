@@ -16,7 +16,24 @@ KEYS = ["CNPJ_CIA", "ANO_FISCAL"]
 BALANCES = [c for c in S.MART_ACCOUNTS if not c.startswith("LPA")] + ["DEP_AMORT"]
 TERMS = ["ACF", "PCF", "CGL", "CPV_ABS", "ESTOQUE_OPERACIONAL", "DIVIDA_BRUTA", "CAPEX", "ACO", "PCO"]
 MONEY = [*BALANCES, *TERMS, "LPA", "EBITDA", "DIVIDA_LIQUIDA", "NCG", "ST"]
-RATIOS = [c for c in [*mart.ratios(), *mart.cycles()] if c not in MONEY]
+RATIO_GROUPS = {
+    "ratios_liquidity": ["LIQ_CORRENTE", "LIQ_SECA", "LIQ_SECA_AJUSTADA", "LIQ_IMEDIATA", "LIQ_GERAL"],
+    "ratios_debt": [
+        "ENDIV_TOTAL", "GRAU_ENDIVIDAMENTO", "ENDIV_CP", "GARANTIA_CP_CT", "COMPOSICAO_ENDIV", "IMOB_PL", "IMOB_AT",
+        "DIVIDA_LIQUIDA", "DL_EBITDA",
+    ],
+    "ratios_margin": ["MARGEM_BRUTA", "MARGEM_OPERACIONAL", "MARGEM_EBITDA", "MARGEM_LIQUIDA", "EBITDA", "LPA"],
+    "ratios_return": ["ROA", "ROE", "ROI"],
+    "ratios_activity": [
+        "GIRO_ESTOQUES", "GIRO_ESTOQUES_AJUSTADO", "GIRO_CLIENTES", "GIRO_FORNECEDORES", "GIRO_ATIVO_TOTAL", "GIRO_AC",
+        "PMRV", "PMRE", "PMRE_AJUSTADO", "PMPC", "PMRAC",
+    ],
+    "ratios_cycle": ["CICLO_ECONOMICO", "CICLO_FINANCEIRO", "CCC", "NCG", "ST", "CGL"],
+    "ratios_cash": [
+        "COB_CAIXA_OPERACIONAL", "MARGEM_CAIXA_OPERACIONAL", "COBERTURA_DIVIDA_CAIXA", "INTENSIDADE_REINVESTIMENTO", "CAPEX",
+    ],
+}
+RATIOS = [c for group in RATIO_GROUPS.values() for c in group if c not in MONEY]
 
 
 def _present(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -181,24 +198,6 @@ def write_readback_count(spark, sf):
     return written_rows(lake.mart(spark, sf), work_path(spark, "mart"), ["ANO_FISCAL"])
 
 
-RATIO_GROUPS = {
-    "ratios_liquidity": ["LIQ_CORRENTE", "LIQ_SECA", "LIQ_SECA_AJUSTADA", "LIQ_IMEDIATA", "LIQ_GERAL"],
-    "ratios_debt": [
-        "ENDIV_TOTAL", "GRAU_ENDIVIDAMENTO", "ENDIV_CP", "GARANTIA_CP_CT", "COMPOSICAO_ENDIV", "IMOB_PL", "IMOB_AT",
-        "DIVIDA_LIQUIDA", "DL_EBITDA",
-    ],
-    "ratios_margin": ["MARGEM_BRUTA", "MARGEM_OPERACIONAL", "MARGEM_EBITDA", "MARGEM_LIQUIDA", "EBITDA", "LPA"],
-    "ratios_return": ["ROA", "ROE", "ROI"],
-    "ratios_activity": [
-        "GIRO_ESTOQUES", "GIRO_ESTOQUES_AJUSTADO", "GIRO_CLIENTES", "GIRO_FORNECEDORES", "GIRO_ATIVO_TOTAL", "GIRO_AC",
-        "PMRV", "PMRE", "PMRE_AJUSTADO", "PMPC", "PMRAC",
-    ],
-    "ratios_cycle": ["CICLO_ECONOMICO", "CICLO_FINANCEIRO", "CCC", "NCG", "ST", "CGL"],
-    "ratios_cash": [
-        "COB_CAIXA_OPERACIONAL", "MARGEM_CAIXA_OPERACIONAL", "COBERTURA_DIVIDA_CAIXA", "INTENSIDADE_REINVESTIMENTO", "CAPEX",
-    ],
-}
-
 QUERIES = {
     f.__name__: f
     for f in [

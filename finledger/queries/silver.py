@@ -12,7 +12,10 @@ from finledger.plans import curation, lake, ledger, mart
 from finledger.queries.report import report
 
 VALUE = ["VL_CONTA_TRATADO"]
-NEWEST = rows.newest_first("VERSAO", "DT_REFER", "LINE_ID", "LINE_SEQ", "VL_CONTA")
+
+
+def _newest():
+    return rows.newest_first(*ledger.NEWEST_FIRST)
 
 
 # --- projections and filters ------------------------------------------------------------------
@@ -97,14 +100,14 @@ def sector_labels(spark, sf):
 
 
 def dedup_latest(spark, sf):
-    newest = rows.newest_row(lake.typed_lines(spark, sf), ["CNPJ_CIA", "DT_FIM_EXERC_ANO", "CD_CONTA"], NEWEST)
+    newest = rows.newest_row(lake.typed_lines(spark, sf), ["CNPJ_CIA", "DT_FIM_EXERC_ANO", "CD_CONTA"], _newest())
     return report(newest.select("CNPJ_CIA", "DT_FIM_EXERC_ANO", "CD_CONTA", "VERSAO", "DT_REFER", "VL_CONTA_TRATADO"), VALUE)
 
 
 def dedup_prefer_original(spark, sf):
     """Lines of the current exercise before those of the previous one, whatever their version."""
     lines = lake.typed_lines(spark, sf).withColumn("SECUNDARIO", F.col("ORDEM_EXERC") != "ÚLTIMO")
-    chosen = rows.newest_row(lines, ["CNPJ_CIA", "DT_REFER", "CD_CONTA"], [F.col("SECUNDARIO").asc(), *NEWEST])
+    chosen = rows.newest_row(lines, ["CNPJ_CIA", "DT_REFER", "CD_CONTA"], [F.col("SECUNDARIO").asc(), *_newest()])
     return report(chosen.select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "SECUNDARIO", "VERSAO", "VL_CONTA_TRATADO"), VALUE)
 
 
@@ -117,7 +120,7 @@ def latest_filing(spark, sf):
 
 
 def distinct_on(spark, sf):
-    first = rows.newest_row(lake.typed_lines(spark, sf), ["CNPJ_CIA", "CD_CONTA"], NEWEST)
+    first = rows.newest_row(lake.typed_lines(spark, sf), ["CNPJ_CIA", "CD_CONTA"], _newest())
     return first.select("CNPJ_CIA", "CD_CONTA", F.upper(F.trim("DS_CONTA")).alias("DS_CONTA"), "VERSAO", "DT_REFER")
 
 
