@@ -29,7 +29,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored newest lines of eligible companies, laid out by statement so that curation reads only its part."""
     newest = newest_lines(raw_lines(spark, sf_dir), ledger.registry(spark, sf_dir))
-    return materialise(newest, "silver_lines")
+    return materialise(newest, "silver_lines", by="GRUPO_DFP_TRATADO")
 
 
 def curated(spark: SparkSession, sf_dir: str, code: str, leaf_scope: str = "table") -> DataFrame:

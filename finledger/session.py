@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "finledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,12 +48,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/finledger-{uuid.uuid4().hex}/{name}"
 
 
-def materialise(df, name: str = "stage"):
-    """Write ``df`` to the shared folder and read it back.
+def materialise(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, optionally laid out by a column of few values.
 
     Used where a result feeds several branches or a lineage grows long. The written table survives the loss of
-    executors and gives the planner real sizes.
+    executors and gives the planner real sizes: a small one is broadcast because it was measured to be small.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
