@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from finledger import schema as S
 from finledger.functions.expressions import ancestors, digits, scaled_value, statement_class
 from finledger.operators.rows import latest_filing, newest_first, newest_row
+from finledger.session import materialise
 
 
 def _sector_text() -> Column:
@@ -131,15 +132,20 @@ CONSOLIDATED_COLUMNS = [
 def newest_lines(lines: DataFrame, registry: DataFrame) -> DataFrame:
     """Newest filing of every eligible company per source table, non-zero values only.
 
-    All source tables go through one pass; the newest version is chosen per table, as each is filed on its own.
-    Store the result: curation and the leaf flags read it more than once.
+    All source tables go through one pass; the newest version is chosen per table, as each is filed on its own. The
+    eligible companies are written first: their measured size decides whether they filter the lines by a broadcast,
+    before anything is shuffled, or by a shuffled join. Store the result: curation and the leaf flags read it more
+    than once.
     """
-    current = current_period(equity_total_only(lines)).withColumn(
-        "_origem_tabela", F.concat(F.lit("layer_01_bronze."), F.col("TABLE_NAME"))
+    eligible = materialise(
+        eligible_entities(registry, exclude_real_estate=False).select("CNPJ_CIA", "SETOR_ATIV"), "eligible"
     )
-    newest = latest_filing(normalise_lines(current), ["TABLE_NAME", "CNPJ_CIA", "DT_REFER"])
-    eligible = eligible_entities(registry, exclude_real_estate=False).select("CNPJ_CIA", "SETOR_ATIV")
-    return newest.filter(F.col("VL_CONTA_TRATADO") != 0).join(eligible, "CNPJ_CIA").select(*CONSOLIDATED_COLUMNS)
+    listed = current_period(equity_total_only(lines)).join(eligible, "CNPJ_CIA")
+    newest = latest_filing(listed, ["TABLE_NAME", "CNPJ_CIA", "DT_REFER"])
+    # Derived columns come after the shuffle of the filings: they are not carried through it, nor worked out for
+    # lines that an older version loses.
+    tagged = newest.withColumn("_origem_tabela", F.concat(F.lit("layer_01_bronze."), F.col("TABLE_NAME")))
+    return normalise_lines(tagged).filter(F.col("VL_CONTA_TRATADO") != 0).select(*CONSOLIDATED_COLUMNS)
 
 
 def consolidated_lines(newest: DataFrame) -> DataFrame:

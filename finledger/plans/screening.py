@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finledger import schema as S
 from finledger.functions.expressions import sector_label, working_capital_profile
+from finledger.functions.literals import literal_frame
 from finledger.operators.distribution import clip_to_quantiles, fractional_rank, group_quantiles
 from finledger.operators.rows import latest_non_null
 from finledger.session import materialise
@@ -214,7 +215,9 @@ def executive_summary(df: DataFrame, rows_at_most: int | None = None) -> DataFra
         "IND_CICLO_FINANCEIRO",
     ]
     last = last_year(df)
-    medians = median_trend(last, ["ANO"], columns, rows_at_most).select(
+    trend = median_trend(last, ["ANO"], columns, rows_at_most)
+    wanted = literal_frame(df.sparkSession, [(c,) for c in columns], "INDICADOR string")
+    medians = wanted.join(trend, "INDICADOR", "left").select(
         F.col("INDICADOR").alias("METRICA"), F.col("MEDIANA").alias("VALOR")
     )
     sound = last.agg(F.avg(F.col("FLEURIET").isin(SOUND_PROFILES).cast("double")).alias("VALOR")).select(
