@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finledger.functions.expressions import ancestors, digits, is_close, parent_code, prefix, segments
+from finledger.functions.expressions import ancestors, digits, is_close, parent_code, segments
+from finledger.operators.rows import newest_first, newest_row
 
 FILING = ["CNPJ_CIA", "DT_REFER"]
 TINY = 0.01
@@ -132,8 +133,6 @@ def level_names_by_filing(lines: DataFrame, levels: int = 5) -> DataFrame:
 
     The prefixes of each distinct account are exploded and matched once, then folded back into one row.
     """
-    from finledger.operators.rows import newest_first, newest_row
-
     keys = ["CNPJ_CIA", "DT_REFER", "GRUPO_DFP_TRATADO"]
     reported = newest_row(lines, [*keys, "CD_CONTA"], newest_first("VERSAO", "LINE_ID", "LINE_SEQ", "VL_CONTA")).select(
         *keys, F.col("CD_CONTA").alias("_prefix"), F.upper(F.trim("DS_CONTA")).alias("_name")

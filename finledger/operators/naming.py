@@ -24,7 +24,7 @@ def golden_names(spoken: DataFrame, statement: str | None = None) -> DataFrame:
     modal = modal_value(spoken, "CD_CONTA", "DS_CONTA", weight="N")
     fixed = list(S.FIXED_NAMES.get(statement, {}).items())
     overrides = literal_frame(spoken.sparkSession, fixed, "CD_CONTA string, FIXO string")
-    return modal.join(F.broadcast(overrides), "CD_CONTA", "full").select(
+    return modal.join(overrides, "CD_CONTA", "full").select(
         "CD_CONTA", F.coalesce("FIXO", "DS_CONTA").alias("DS_CONTA")
     )
 

@@ -160,11 +160,12 @@ def curate(consolidated: DataFrame, code: str, leaf_scope: str = "table") -> Dat
 
 
 def repaired_values(consolidated: DataFrame, code: str) -> DataFrame:
-    """Repaired balances of a statement without names: all that a mart needs."""
+    """Repaired balances of a statement without names: all that marts and arithmetic audits need."""
     statement = STATEMENTS[code]
     repaired = repaired_statement(statement_extract(consolidated, statement), statement)
     return repaired.select(
         *FILING,
+        "DENOM_CIA",
         "CD_CONTA",
         F.col("VL_CONTA_TRATADO").cast("double").alias("VL_CONTA_TRATADO"),
         F.col("REPORTADO").isNull().alias("FLAG_RECONSTRUCAO"),

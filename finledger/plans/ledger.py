@@ -230,13 +230,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some suppliers appear twice with an older record, as registries do (trap T7).
     """
-    # nation has 25 rows by definition of the data set.
-    nations = F.broadcast(
-        read_table(spark, sf_dir, "nation").select(
-            "n_nationkey",
-            "n_regionkey",
-            _sector(F.col("n_nationkey"), F.col("n_name")).alias("SETOR_ATIV"),
-        )
+    nations = read_table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_regionkey", _sector(F.col("n_nationkey"), F.col("n_name")).alias("SETOR_ATIV")
     )
     suppliers = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("k"),

@@ -115,9 +115,10 @@ def score_history(scores: DataFrame) -> DataFrame:
     )
 
 
-def score_peers_of_last_year(peers: DataFrame, top: int = 20) -> DataFrame:
-    """Best scores per sector in the last year."""
-    last = peers.filter(F.col("ANO_FISCAL") == peers.select(F.max("ANO_FISCAL")).scalar())
+def score_peers_of_last_year(peers: DataFrame, scores: DataFrame, top: int = 20) -> DataFrame:
+    """Best scores per sector in the last year of ``scores``."""
+    year = scores.filter(F.col("SCORE_IPRF").isNotNull()).select(F.max("ANO_FISCAL")).scalar()
+    last = peers.filter(F.col("ANO_FISCAL") == year)
     ordered = Window.partitionBy("SETOR").orderBy(F.col("SCORE_IPRF").desc(), "CNPJ_CIA")
     return last.withColumn("POSICAO", F.row_number().over(ordered)).filter(F.col("POSICAO") <= top)
 

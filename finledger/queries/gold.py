@@ -10,7 +10,8 @@ from finledger.operators import audit
 from finledger.operators.normalise import current_period, normalise_lines
 from finledger.plans import benchmark, lake, mart, screening, serving
 from finledger.queries.report import report
-from finledger.session import materialise
+from finledger.session import materialise, work_path
+from finledger.sources.tables import written_rows
 
 KEYS = ["CNPJ_CIA", "ANO_FISCAL"]
 BALANCES = [c for c in S.MART_ACCOUNTS if not c.startswith("LPA")] + ["DEP_AMORT"]
@@ -109,7 +110,13 @@ def benchmark_long(spark, sf):
 def filtered_agg(spark, sf):
     long = benchmark.unpivot_indicators(lake.mart(spark, sf))
     averages = benchmark.filtered_averages(long, "Agricultura (Açúcar, Álcool e Cana)")
-    return report(averages, [], ["MEDIA_SETOR", "MEDIA_DEMAIS", "MAXIMO_DEMAIS"], places=3)
+    # Ratios and money share the columns: large values are reported whole.
+    return averages.withColumns(
+        {
+            c: F.when(F.abs(c) >= 10000, F.round(c, 0)).otherwise(F.round(c, 6))
+            for c in ("MEDIA_SETOR", "MEDIA_DEMAIS", "MAXIMO_DEMAIS")
+        }
+    )
 
 
 def risk_notes(spark, sf):
@@ -150,8 +157,9 @@ def score_history(spark, sf):
 
 def score_peers(spark, sf):
     """Best twenty scores of the last year in every sector, with their sector median and rank."""
-    peers = benchmark.score_peers(_stored_scores(spark, sf), lake.row_bound(spark, sf))
-    return report(serving.score_peers_of_last_year(peers), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"])
+    scores = _stored_scores(spark, sf)
+    peers = benchmark.score_peers(scores, lake.row_bound(spark, sf))
+    return report(serving.score_peers_of_last_year(peers, scores), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"])
 
 
 def indicator_ranking(spark, sf):
@@ -192,9 +200,6 @@ def overview_history(spark, sf):
 
 
 def write_readback_count(spark, sf):
-    from finledger.session import work_path
-    from finledger.sources.tables import written_rows
-
     return written_rows(lake.mart(spark, sf), work_path(spark, "mart"), ["ANO_FISCAL"])
 
 

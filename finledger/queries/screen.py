@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from finledger.operators import rows
 from finledger.operators.distribution import describe_group
 from finledger.plans import curation, lake, mart, screening, serving
 from finledger.queries.report import report
@@ -26,7 +27,7 @@ def indicator_mart_simple(spark, sf):
         for c in simple.columns
         if c.startswith("IND_") and c not in ("IND_LPA_DILUIDO", "IND_CGL", "IND_NCG", "IND_ST")
     ]
-    money = [c for c in simple.columns if c[:3] in ("V01", "V02") or c[:1] == "V" or c.startswith("AUX_")]
+    money = [c for c in simple.columns if c.startswith("V") or c.startswith("AUX_")]
     return report(simple, [*money, "IND_LPA_DILUIDO", "IND_CGL", "IND_NCG", "IND_ST"], ratios)
 
 
@@ -112,10 +113,8 @@ def outlier_distance(spark, sf):
 
 
 def latest_non_null(spark, sf):
-    from finledger.operators.rows import latest_non_null as pick
-
     columns = ["IND_LIQUIDEZ_CORRENTE", "IND_ROE", "IND_CICLO_FINANCEIRO"]
-    return report(pick(_prepared(spark, sf), "CNPJ_CIA", "DT_REFER", columns), [], columns)
+    return report(rows.latest_non_null(_prepared(spark, sf), "CNPJ_CIA", "DT_REFER", columns), [], columns)
 
 
 def alert_radar(spark, sf):
@@ -124,9 +123,7 @@ def alert_radar(spark, sf):
 
 def _annual(prepared):
     """One row per company and year: the latest date of the year."""
-    from finledger.operators.rows import newest_row
-
-    return newest_row(prepared, ["CNPJ_CIA", "ANO"], [F.col("DT_REFER").desc()])
+    return rows.newest_row(prepared, ["CNPJ_CIA", "ANO"], [F.col("DT_REFER").desc()])
 
 
 def alert_frequency(spark, sf):

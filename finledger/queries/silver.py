@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finledger import schema as S
 from finledger.functions.expressions import digits, sector_label
 from finledger.operators import audit, hierarchy, naming, normalise, rows
-from finledger.plans import curation, lake, ledger, mart
+from finledger.plans import curation, lake, ledger, mart, serving
 from finledger.queries.report import report
+from finledger.session import materialise
 
 VALUE = ["VL_CONTA_TRATADO"]
 
@@ -125,9 +126,7 @@ def distinct_on(spark, sf):
 
 
 def distinct_entities(spark, sf):
-    from finledger.plans.serving import entities
-
-    return entities(lake.raw_lines(spark, sf))
+    return serving.entities(lake.raw_lines(spark, sf))
 
 
 def consolidate_sources(spark, sf):
@@ -170,6 +169,10 @@ def collapse_duplicates(spark, sf):
     return report(collapsed, VALUE)
 
 
+def _values(spark, sf, code):
+    return curation.repaired_values(lake.silver_lines(spark, sf), code)
+
+
 def _repaired(spark, sf, code):
     statement = curation.STATEMENTS[code]
     return curation.repaired_statement(_extract(spark, sf, code), statement)
@@ -287,7 +290,7 @@ def volume_summary(spark, sf):
 
 
 def balance_equation(spark, sf):
-    audited = audit.balance_equation(lake.curated(spark, sf, "BP"))
+    audited = audit.balance_equation(_values(spark, sf, "BP"))
     return report(audited, ["TOTAL_ATIVO", "TOTAL_PASSIVO", "DIFERENCA"])
 
 
@@ -312,12 +315,12 @@ def duplicate_keys(spark, sf):
 
 
 def parent_child_check(spark, sf):
-    checked = audit.parent_child_check(lake.curated(spark, sf, "DRE"))
+    checked = audit.parent_child_check(_values(spark, sf, "DRE"))
     return report(checked, ["VL_PAI", "SOMA_FILHOS", "DIFERENCA"])
 
 
 def parent_child_summary(spark, sf):
-    return audit.parent_child_summary(lake.curated(spark, sf, "BP"))
+    return audit.parent_child_summary(_values(spark, sf, "BP"))
 
 
 def coverage_crosscheck(spark, sf):
@@ -328,52 +331,47 @@ def coverage_crosscheck(spark, sf):
 
 
 def cash_identity(spark, sf):
-    checked = audit.cash_identity(lake.curated(spark, sf, "DFC"))
+    checked = audit.cash_identity(_values(spark, sf, "DFC"))
     return report(checked, ["SOMA_FLUXOS", "VARIACAO_CAIXA", "DIFERENCA"])
 
 
 def cash_reconciliation(spark, sf):
     lines = lake.silver_lines(spark, sf)
-    checked = audit.cash_reconciliation(curation.curate(lines, "DFC"), curation.curate(lines, "BP"))
+    checked = audit.cash_reconciliation(curation.repaired_values(lines, "DFC"), curation.repaired_values(lines, "BP"))
     return report(checked, ["DFC_6_05_02", "BP_1_01_01", "BP_1_01_02", "BP_TETO"])
 
 
 def waterfall_check(spark, sf):
-    checked = audit.waterfall_check(curation.repaired_values(lake.silver_lines(spark, sf), "DRE"))
+    checked = audit.waterfall_check(_values(spark, sf, "DRE"))
     return report(checked, ["C3_01", "C3_02", "C3_03", "C3_04", "C3_05"])
 
 
 def publish_gate(spark, sf):
-    return audit.publish_gate(curation.repaired_values(lake.silver_lines(spark, sf), "DRE"))
+    return audit.publish_gate(_values(spark, sf, "DRE"))
 
 
 def gap_candidates(spark, sf):
-    return report(audit.gap_candidates(lake.curated(spark, sf, "BP")), ["VL_CONTA_TRATADO", "DIFERENCA"])
+    return report(audit.gap_candidates(_values(spark, sf, "BP")), ["VL_CONTA_TRATADO", "DIFERENCA"])
 
 
 def group_totals(spark, sf):
-    values = curation.repaired_values(lake.silver_lines(spark, sf), "BP")
-    return report(audit.group_totals(values), ["VL_RAIZ", "SOMA_GRUPOS", "DIFERENCA"])
+    return report(audit.group_totals(_values(spark, sf, "BP")), ["VL_RAIZ", "SOMA_GRUPOS", "DIFERENCA"])
 
 
 def top_divergences(spark, sf):
-    return report(audit.top_divergences(lake.curated(spark, sf, "BP")), ["TOTAL_ATIVO", "TOTAL_PASSIVO", "DIFERENCA"])
+    return report(audit.top_divergences(_values(spark, sf, "BP")), ["TOTAL_ATIVO", "TOTAL_PASSIVO", "DIFERENCA"])
 
 
 def top_reconstructed(spark, sf):
-    return audit.top_reconstructed(lake.curated(spark, sf, "BP"))
+    return audit.top_reconstructed(_values(spark, sf, "BP"))
 
 
 def audit_checklist(spark, sf):
-    from finledger.session import materialise
-
     bp = materialise(lake.curated(spark, sf, "BP"), "bp")
     return audit.audit_checklist(bp, F.col("STATUS_MATH") == "DESBALANCEADO")
 
 
 def _stacked(spark, sf):
-    from finledger.session import materialise
-
     return materialise(mart.stack_statements(lake.curated_all(spark, sf)), "stacked")
 
 
@@ -395,7 +393,7 @@ def variable_dictionary(spark, sf):
 
 
 def fallback_origin(spark, sf):
-    return audit.fallback_origin(curation.repaired_values(lake.silver_lines(spark, sf), "DRE"))
+    return audit.fallback_origin(_values(spark, sf, "DRE"))
 
 
 def missing_periods(spark, sf):
@@ -411,8 +409,6 @@ def entities_by_dimension(spark, sf):
     dimensions = ["SETOR_ATIV", "UF", "CONTROLE_ACIONARIO", "CATEG_REG"]
     long = companies.unpivot(["CNPJ_CIA"], dimensions, "DIMENSAO", "VALOR")
     counted = long.groupBy("DIMENSAO", "VALOR").agg(F.count("*").alias("N"))
-    from pyspark.sql import Window
-
     return counted.withColumn("PCT", F.round(F.col("N") * 100.0 / F.sum("N").over(Window.partitionBy("DIMENSAO")), 2))
 
 

@@ -68,9 +68,14 @@ LEFT JOIN med_sector s ON s.ANO_FISCAL = b.ANO_FISCAL AND s.SETOR = b.SETOR AND
     ),
     "filtered_agg": query(
         "long",
-        """SELECT ANO_FISCAL, COD_INDICADOR, round(avg(VL_INDICADOR) FILTER (WHERE SETOR = 'Agricultura (Açúcar, Álcool e Cana)'), 3) + 0.0 AS MEDIA_SETOR,
-round(avg(VL_INDICADOR) FILTER (WHERE SETOR IS DISTINCT FROM 'Agricultura (Açúcar, Álcool e Cana)'), 3) + 0.0 AS MEDIA_DEMAIS,
-round(max(VL_INDICADOR) FILTER (WHERE SETOR IS DISTINCT FROM 'Agricultura (Açúcar, Álcool e Cana)'), 3) + 0.0 AS MAXIMO_DEMAIS FROM long GROUP BY ALL""",
+        "SELECT ANO_FISCAL, COD_INDICADOR, "
+        + ", ".join(
+            f"CASE WHEN abs({c}) >= 10000 THEN round({c}, 0) ELSE round({c}, 6) END + 0.0 AS {c}"
+            for c in ("MEDIA_SETOR", "MEDIA_DEMAIS", "MAXIMO_DEMAIS")
+        )
+        + """ FROM (SELECT ANO_FISCAL, COD_INDICADOR, avg(VL_INDICADOR) FILTER (WHERE SETOR = 'Agricultura (Açúcar, Álcool e Cana)') AS MEDIA_SETOR,
+avg(VL_INDICADOR) FILTER (WHERE SETOR IS DISTINCT FROM 'Agricultura (Açúcar, Álcool e Cana)') AS MEDIA_DEMAIS,
+max(VL_INDICADOR) FILTER (WHERE SETOR IS DISTINCT FROM 'Agricultura (Açúcar, Álcool e Cana)') AS MAXIMO_DEMAIS FROM long GROUP BY ALL)""",
     ),
     "risk_notes": query("notes", f"SELECT * REPLACE ({rounded(*NOTE_INPUTS)}) FROM notes"),
     "risk_dimensions": query("scores", f"SELECT CNPJ_CIA, ANO_FISCAL, {rounded(*DIMENSIONS)} FROM scores"),

@@ -73,6 +73,13 @@ def test_waterfall_accepts_either_sign_of_cost(spark):
     assert not gate["APROVADO"] and gate["CHAVES_DUPLICADAS"] == 4
 
 
+def test_refused_table_is_not_written(spark, tmp_path):
+    good = table(spark, [("3.01", 100), ("3.02", 40), ("3.03", 60), ("3.04", -10), ("3.05", 50)])
+    assert audit.write_if_approved(good, str(tmp_path / "a"))
+    assert not audit.write_if_approved(good.union(good), str(tmp_path / "b"))
+    assert not (tmp_path / "b").exists()
+
+
 def test_crosscheck(spark):
     left = table(spark, [("1", 1)]).union(table(spark, [("1", 1)], "B"))
     right = table(spark, [("3.01", 1)], "B").union(table(spark, [("3.01", 1)], "C"))
