@@ -133,7 +133,7 @@ def risk_dimensions(spark, sf):
 
 def risk_score(spark, sf):
     scored = benchmark.risk_scores(lake.mart(spark, sf)).select(*benchmark.LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
-    return report(scored, [], ["SCORE_IPRF"])
+    return report(scored, [], ["SCORE_IPRF"], places=9)
 
 
 def _stored_scores(spark, sf):
@@ -143,23 +143,23 @@ def _stored_scores(spark, sf):
 
 def score_peer_rank(spark, sf):
     peers = benchmark.score_peers(_stored_scores(spark, sf), lake.row_bound(spark, sf))
-    return report(peers, [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"])
+    return report(peers, [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def score_peer_rank_distributed(spark, sf):
     """The same ranks by the way that is taken for peer groups too large for one task."""
-    return report(benchmark.score_peers(_stored_scores(spark, sf)), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"])
+    return report(benchmark.score_peers(_stored_scores(spark, sf)), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def score_history(spark, sf):
-    return report(serving.score_history(benchmark.risk_scores(lake.mart(spark, sf))), [], ["SCORE_IPRF", "VARIACAO"])
+    return report(serving.score_history(benchmark.risk_scores(lake.mart(spark, sf))), [], ["SCORE_IPRF", "VARIACAO"], places=9)
 
 
 def score_peers(spark, sf):
     """Best twenty scores of the last year in every sector, with their sector median and rank."""
     scores = _stored_scores(spark, sf)
     peers = benchmark.score_peers(scores, lake.row_bound(spark, sf))
-    return report(serving.score_peers_of_last_year(peers, scores), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"])
+    return report(serving.score_peers_of_last_year(peers, scores), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def indicator_ranking(spark, sf):

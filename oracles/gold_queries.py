@@ -80,18 +80,18 @@ max(VL_INDICADOR) FILTER (WHERE SETOR IS DISTINCT FROM 'Agricultura (Açúcar, 
     "risk_notes": query("notes", f"SELECT * REPLACE ({rounded(*NOTE_INPUTS)}) FROM notes"),
     "risk_dimensions": query("scores", f"SELECT CNPJ_CIA, ANO_FISCAL, {rounded(*DIMENSIONS)} FROM scores"),
     "risk_score": query(
-        "scores", "SELECT CNPJ_CIA, DENOM_CIA, SETOR, ANO_FISCAL, round(SCORE_IPRF, 6) + 0.0 AS SCORE_IPRF, FAIXA_IPRF FROM scores"
+        "scores", "SELECT CNPJ_CIA, DENOM_CIA, SETOR, ANO_FISCAL, round(SCORE_IPRF, 9) + 0.0 AS SCORE_IPRF, FAIXA_IPRF FROM scores"
     ),
-    "score_peer_rank": query("peers", f"SELECT * REPLACE ({rounded('SCORE_IPRF', 'MEDIANA_IPRF_SETOR_ANO')}) FROM peers"),
-    "score_peer_rank_distributed": query("peers", f"SELECT * REPLACE ({rounded('SCORE_IPRF', 'MEDIANA_IPRF_SETOR_ANO')}) FROM peers"),
+    "score_peer_rank": query("peers", f"SELECT * REPLACE ({rounded('SCORE_IPRF', 'MEDIANA_IPRF_SETOR_ANO', places=9)}) FROM peers"),
+    "score_peer_rank_distributed": query("peers", f"SELECT * REPLACE ({rounded('SCORE_IPRF', 'MEDIANA_IPRF_SETOR_ANO', places=9)}) FROM peers"),
     "score_history": query(
         "scores",
-        """SELECT CNPJ_CIA, ANO_FISCAL, round(SCORE_IPRF, 6) + 0.0 AS SCORE_IPRF, FAIXA_IPRF,
-round(SCORE_IPRF - lag(SCORE_IPRF) OVER (PARTITION BY CNPJ_CIA ORDER BY ANO_FISCAL), 6) + 0.0 AS VARIACAO FROM scores""",
+        """SELECT CNPJ_CIA, ANO_FISCAL, round(SCORE_IPRF, 9) + 0.0 AS SCORE_IPRF, FAIXA_IPRF,
+round(SCORE_IPRF - lag(SCORE_IPRF) OVER (PARTITION BY CNPJ_CIA ORDER BY ANO_FISCAL), 9) + 0.0 AS VARIACAO FROM scores""",
     ),
     "score_peers": query(
         "peers",
-        """SELECT * REPLACE (round(SCORE_IPRF, 6) + 0.0 AS SCORE_IPRF, round(MEDIANA_IPRF_SETOR_ANO, 6) + 0.0 AS MEDIANA_IPRF_SETOR_ANO) FROM (SELECT *,
+        """SELECT * REPLACE (round(SCORE_IPRF, 9) + 0.0 AS SCORE_IPRF, round(MEDIANA_IPRF_SETOR_ANO, 9) + 0.0 AS MEDIANA_IPRF_SETOR_ANO) FROM (SELECT *,
 CAST(row_number() OVER (PARTITION BY SETOR ORDER BY SCORE_IPRF DESC, CNPJ_CIA) AS INTEGER) AS POSICAO
 FROM peers WHERE ANO_FISCAL = (SELECT max(ANO_FISCAL) FROM peers)) WHERE POSICAO <= 20""",
     ),
