@@ -30,10 +30,9 @@ def latest_filing(df: DataFrame, keys: list[str], version: str = "VERSAO") -> Da
     return df.join(latest, [*keys, version], "left_semi")
 
 
-def modal_value(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
+def modal_value(df: DataFrame, key: str, value: str) -> DataFrame:
     """Most frequent non-NULL ``value`` per ``key``; ties go to the smaller value."""
-    frequency = F.count("*") if weight is None else F.sum(weight)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(frequency.alias("_freq"))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_freq"))
     return newest_row(counted, [key], [F.col("_freq").desc(), F.col(value).asc()]).drop("_freq")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -182,4 +183,6 @@ def filing_metadata(consolidated: DataFrame) -> DataFrame:
 
 
 def curated_tables(consolidated: DataFrame) -> dict[str, DataFrame]:
-    return {code: curate(consolidated, code) for code in STATEMENTS}
+    """All statements. Their dictionaries are small independent jobs, so they are submitted together."""
+    with ThreadPoolExecutor(len(STATEMENTS)) as pool:
+        return dict(zip(STATEMENTS, pool.map(lambda code: curate(consolidated, code), STATEMENTS)))

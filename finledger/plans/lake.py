@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finledger.operators.normalise import current_period, newest_lines, normalise_lines
 from finledger.operators.rows import newest_first, newest_row
 from finledger.plans import ledger
-from finledger.plans.curation import curate, repaired_values
+from finledger.plans.curation import curate, curated_tables, repaired_values
 from finledger.plans.mart import mart_from_lines, simple_mart
 from finledger.session import materialise
 
@@ -37,8 +37,7 @@ def curated(spark: SparkSession, sf_dir: str, code: str, leaf_scope: str = "tabl
 
 
 def curated_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lines = silver_lines(spark, sf_dir)
-    return {code: curate(lines, code) for code in ("BP", "DRE", "DFC")}
+    return curated_tables(silver_lines(spark, sf_dir))
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,11 +197,17 @@ def rollup_audit(spark, sf):
 
 
 def golden_names(spark, sf):
-    return naming.golden_names(naming.spoken_names(_extract(spark, sf, "DFC")), "DFC")
+    return naming.golden_names(_extract(spark, sf, "DFC"), "DFC")
 
 
 def golden_flag(spark, sf):
-    return naming.golden_flags(naming.spoken_names(_extract(spark, sf, "BP")))
+    return naming.golden_flags(_extract(spark, sf, "BP"))
+
+
+def modal_scale(spark, sf):
+    """The scale most of a company's lines are reported in."""
+    lines = lake.raw_lines(spark, sf).select("CNPJ_CIA", F.upper(F.trim("ESCALA_MOEDA")).alias("ESCALA"))
+    return rows.modal_value(lines, "CNPJ_CIA", "ESCALA")
 
 
 def trace_flags(spark, sf):
@@ -418,7 +424,7 @@ QUERIES = {
         scan_projection, eligible_entities, filter_funnel, excluded_by_group, ilike_filter, current_period_filter,
         scale_normalise, statement_class, level_filter, outlier_null, dedup_latest, dedup_prefer_original,
         latest_filing, distinct_on, distinct_entities, consolidate_sources, is_leaf, join_inner, collapse_duplicates,
-        hierarchy_rollup_safe, hierarchy_rollup_force, rollup_audit, golden_names, golden_flag, trace_flags,
+        hierarchy_rollup_safe, hierarchy_rollup_force, rollup_audit, golden_names, golden_flag, modal_scale, trace_flags,
         level_labels, level_names_join, is_leaf_global, is_leaf_entity, metadata_attach, gap_fill, curated_bp,
         curated_dre, curated_dfc, golden_schema, stack_statements, balance_status, cashflow_status, volume_summary,
         balance_equation, status_distribution, flag_distribution, leaf_distribution, duplicate_keys,

@@ -142,6 +142,11 @@ count(*) FILTER (WHERE ACAO = 'inserted') AS INSERIDAS, count(*) FILTER (WHERE A
     ),
     "golden_names": query("dfc_names", "SELECT CD_CONTA, nm AS DS_CONTA FROM dfc_names"),
     "golden_flag": query("bp_flags", "SELECT CD_CONTA, fl AS ST_CONTA_FIXA FROM bp_flags"),
+    "modal_scale": query(
+        "lines",
+        """SELECT CNPJ_CIA, ESCALA FROM (SELECT CNPJ_CIA, ESCALA, row_number() OVER (PARTITION BY CNPJ_CIA ORDER BY n DESC, ESCALA) AS rn
+FROM (SELECT CNPJ_CIA, upper(trim(ESCALA_MOEDA)) AS ESCALA, count(*) AS n FROM lines GROUP BY ALL)) WHERE rn = 1""",
+    ),
     "trace_flags": n1("dre", "SELECT CNPJ_CIA, DT_REFER, CD_CONTA, DS_CONTA, DS_CONTA_REPORTADA, FLAG_RECONSTRUCAO, FLAG_NORMALIZACAO FROM N1"),
     "level_labels": n1("bp", "SELECT CNPJ_CIA, DT_REFER, CD_CONTA, DS_NIVEL_1, DS_NIVEL_2, DS_NIVEL_3, DS_NIVEL_4, DS_NIVEL_5 FROM N1"),
     "level_names_join": query(
