@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, quality, simhash
+from finledger.llm import bpe, decontaminate, linededup, quality, secrets, simhash
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -22,11 +22,31 @@ def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.ByteBpe(spark, public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
     return bpe.digests(bpe.tokenised(table(spark, sf_dir, "documents"), coder))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, report=True)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -34,6 +54,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_ranking": op1_quality_ranking,
+    "op2_benchmark_leaks": op2_benchmark_leaks,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
 }
