@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, decontaminate, linededup, quality, secrets, simhash
+from finledger.llm import bpe, decontaminate, linededup, quality, secrets, simhash, toxicity, vptree
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -26,11 +26,22 @@ def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.ByteBpe(spark, public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
     return bpe.digests(bpe.tokenised(table(spark, sf_dir, "documents"), coder))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs, report=True)
@@ -55,7 +66,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_ranking": op1_quality_ranking,
     "op2_benchmark_leaks": op2_benchmark_leaks,
+    "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_toxicity": op5_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
