@@ -2,4 +2,38 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+PREFERENCE = """
+WITH turns AS (
+    SELECT conv_id AS pair_id, turn, min({'role': coalesce(role, 'unknown'), 'text': coalesce(text, '')}) AS said
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL
+), last AS (
+    SELECT pair_id, max(turn) AS last FROM turns WHERE said.role = 'assistant' GROUP BY ALL
+), chosen AS (
+    SELECT pair_id, turn, said, turn = last AS final FROM turns JOIN last USING (pair_id) WHERE turn <= last
+), rejected AS (
+    SELECT pair_id, turn, said FROM chosen WHERE NOT final
+    UNION ALL
+    SELECT c.pair_id, c.turn, other.said
+    FROM chosen c JOIN chosen other ON other.final AND other.pair_id = xor(c.pair_id, 1) WHERE c.final
+), both_sides AS (
+    SELECT pair_id, turn, c.said AS a, r.said AS b FROM chosen c FULL JOIN rejected r USING (pair_id, turn)
+), parting AS (
+    SELECT pair_id, min(turn) AS parting FROM both_sides WHERE a IS DISTINCT FROM b GROUP BY ALL
+), segments AS (
+    SELECT pair_id, 'prompt' AS part, turn, a AS said FROM both_sides LEFT JOIN parting USING (pair_id)
+    WHERE parting IS NULL OR turn < parting
+    UNION ALL
+    SELECT pair_id, 'chosen', turn, a FROM both_sides JOIN parting USING (pair_id) WHERE turn >= parting AND a IS NOT NULL
+    UNION ALL
+    SELECT pair_id, 'rejected', turn, b FROM both_sides JOIN parting USING (pair_id) WHERE turn >= parting AND b IS NOT NULL
+)
+SELECT pair_id, part, turn, said.role AS role,
+       '<|' || said.role || '|>' || chr(10) || said.text || '<|end|>' || chr(10) AS rendered,
+       CAST(CASE WHEN part <> 'prompt' AND said.role = 'assistant' THEN length(said.role) + 5 ELSE 0 END AS INTEGER)
+           AS loss_start,
+       CAST(CASE WHEN part <> 'prompt' AND said.role = 'assistant' THEN length(said.role) + 5 + length(said.text) + 8
+            ELSE 0 END AS INTEGER) AS loss_end
+FROM segments
+"""
+
+ORACLES: dict[str, str] = {"op6_preference_pairs": PREFERENCE}

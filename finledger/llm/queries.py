@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, decontaminate, linededup, quality, secrets, simhash, toxicity, vptree
+from finledger.llm import bpe, decontaminate, linededup, preference, quality, secrets, simhash, toxicity, urls, vptree
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -42,6 +42,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_segments(*preference.swapped_replies(table(spark, sf_dir, "conversations")))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs, report=True)
@@ -69,6 +77,8 @@ QUERIES = {
     "op3_nearest": op3_nearest,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_preference_pairs": op6_preference_pairs,
+    "op7_url_filter": op7_url_filter,
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,

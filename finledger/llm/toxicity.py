@@ -227,6 +227,7 @@ class ToxicityModel:
 def learn_lexicon(sample: DataFrame, most: int, least_docs: int, least_z: float) -> dict[str, float]:
     """Words and word beginnings with significant log odds for toxic documents, weighted 0.3 to 2.
 
+    A beginning is left out where one longer entry stands in the same documents: it is no family of words then.
     Document counts are added up in the tasks and then by Spark; of the significant entries the ``most`` clearest are
     fetched.
     """
@@ -249,7 +250,12 @@ def learn_lexicon(sample: DataFrame, most: int, least_docs: int, least_z: float)
     z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     clear = counts.withColumn("odds", odds).withColumn("z", z).filter((F.col("z") >= least_z) & (F.col("odds") >= 1.5))
     rows = clear.orderBy(F.desc("z"), "entry").limit(most).collect()
-    return {r.entry: float(min(2.0, max(0.3, r.odds / 3))) for r in rows}
+    longer = {(r.entry[:size], r.t, r.c) for r in rows for size in PREFIXES if len(r.entry.rstrip("*")) > size}
+    return {
+        r.entry: float(min(2.0, max(0.3, r.odds / 3)))
+        for r in rows
+        if not (r.entry.endswith("*") and (r.entry[:-1], r.t, r.c) in longer)
+    }
 
 
 def fit_curve(features: np.ndarray, labels: np.ndarray, lexicon: dict[str, float], threshold: float) -> ToxicityModel:
