@@ -240,7 +240,8 @@ def learn_lexicon(sample: DataFrame, most: int, least_docs: int, least_z: float)
                 stems = {w[:size] + "*" for w in words for size in PREFIXES if len(w) > size}
                 (toxic if label else clean).update(words | stems)
         entries = list(toxic.keys() | clean.keys())
-        yield pd.DataFrame({"entry": entries, "t": [toxic[e] for e in entries], "c": [clean[e] for e in entries]})
+        if entries:
+            yield pd.DataFrame({"entry": entries, "t": [toxic[e] for e in entries], "c": [clean[e] for e in entries]})
 
     sizes = sample.agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")).first()
     toxic, clean = (sizes.t or 0) + 1.0, (sizes.c or 0) + 1.0
@@ -300,11 +301,15 @@ def fit_toxicity(
     least_docs: int = 4,
     least_z: float = 4.0,
 ) -> ToxicityModel:
-    """Fit on at most ``sample_rows`` labelled training rows: two thirds for the lexicon, one third for the curve."""
+    """Fit on at most ``sample_rows`` labelled training rows: two thirds for the lexicon, one third for the curve, by a
+    hash of the text. Where that third holds one label only, the curve is fitted on all rows of the sample."""
     sample = materialise(labelled_sample(docs, labels, label, training, sample_rows), "toxic")
     part = F.pmod(F.xxhash64("text"), F.lit(3))
     lexicon = learn_lexicon(sample.filter(part != 0), most_entries, least_docs, least_z)
-    rows = sample.filter(part == 0).select(_features("text", lexicon).alias("f"), "label").collect()
+    scored = sample.select(_features("text", lexicon).alias("f"), "label", (part == 0).alias("own"))
+    rows = scored.filter("own").collect()
+    if len({r["label"] for r in rows}) < 2:
+        rows = scored.collect()
     features = np.array([r["f"] for r in rows], dtype=float).reshape(len(rows), 5)
     return fit_curve(features, np.array([r["label"] for r in rows]), lexicon, threshold)
 
