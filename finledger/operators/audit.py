@@ -316,7 +316,7 @@ def variable_coverage(stacked: DataFrame) -> DataFrame:
     )
 
 
-def variable_range(stacked: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def variable_range(stacked: DataFrame) -> DataFrame:
     """Value range of every variable over leaves."""
     leaves = variable_lines(stacked).filter("IS_LEAF").withColumn("_v", F.col(VALUE).cast("double"))
     profile = leaves.groupBy("VARIAVEL").agg(
@@ -325,7 +325,7 @@ def variable_range(stacked: DataFrame, rows_at_most: int | None = None) -> DataF
         F.min("_v").alias("MINIMO"),
         F.max("_v").alias("MAXIMO"),
     )
-    return _attach(profile, group_quantiles(leaves, ["VARIAVEL"], "_v", {"MEDIANA": 0.5}, rows_at_most), ["VARIAVEL"], "left")
+    return _attach(profile, group_quantiles(leaves, ["VARIAVEL"], "_v", {"MEDIANA": 0.5}), ["VARIAVEL"], "left")
 
 
 def variable_dictionary(stacked: DataFrame) -> DataFrame:

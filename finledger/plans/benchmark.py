@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finledger import schema as S
@@ -14,7 +14,7 @@ from finledger.functions.expressions import (
     weighted_mean_of_present,
 )
 from finledger.functions.literals import literal_frame
-from finledger.operators.distribution import group_median, group_ranks
+from finledger.operators.distribution import group_median, group_positions, group_ranks
 from finledger.operators.rows import newest_row
 from finledger.session import materialise
 
@@ -28,24 +28,24 @@ def unpivot_indicators(mart: DataFrame, codes: list[str] | None = None) -> DataF
     return base.unpivot(LONG_KEYS, codes, "COD_INDICADOR", "VL_INDICADOR").filter(F.col("VL_INDICADOR").isNotNull())
 
 
-def overall_medians(long: DataFrame, rows_at_most: int | None = None) -> DataFrame:
-    return group_median(long, ["ANO_FISCAL", "COD_INDICADOR"], "VL_INDICADOR", "MEDIANA_GERAL_ANO", rows_at_most)
+def overall_medians(long: DataFrame) -> DataFrame:
+    return group_median(long, ["ANO_FISCAL", "COD_INDICADOR"], "VL_INDICADOR", "MEDIANA_GERAL_ANO")
 
 
-def sector_medians(long: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def sector_medians(long: DataFrame) -> DataFrame:
     keys = ["ANO_FISCAL", "SETOR", "COD_INDICADOR"]
-    return group_median(long, keys, "VL_INDICADOR", "MEDIANA_SETOR_ANO", rows_at_most)
+    return group_median(long, keys, "VL_INDICADOR", "MEDIANA_SETOR_ANO")
 
 
-def benchmark(stored_mart: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def benchmark(stored_mart: DataFrame) -> DataFrame:
     """Every indicator against the overall and the sector median of its year.
 
     A company without a sector has no sector median. The medians are few (years x sectors x indicators); they are
     written first, so that the planner sees how small they are and does not shuffle the long table for them.
     """
     long = unpivot_indicators(stored_mart)
-    overall = materialise(overall_medians(long, rows_at_most), "overall_medians")
-    sector = materialise(sector_medians(long, rows_at_most), "sector_medians")
+    overall = materialise(overall_medians(long), "overall_medians")
+    sector = materialise(sector_medians(long), "sector_medians")
     joined = long.join(overall, ["ANO_FISCAL", "COD_INDICADOR"], "left").join(
         sector, ["ANO_FISCAL", "SETOR", "COD_INDICADOR"], "left"
     )
@@ -95,12 +95,12 @@ def risk_scores(mart: DataFrame) -> DataFrame:
     return scored.withColumn("FAIXA_IPRF", score_band("SCORE_IPRF"))
 
 
-def score_peers(stored_scores: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def score_peers(stored_scores: DataFrame) -> DataFrame:
     """Each score among its sector of the year: median, dense rank from the top, percent rank."""
     keys = ["ANO_FISCAL", "SETOR"]
     base = stored_scores.filter(F.col("SCORE_IPRF").isNotNull()).select(*LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
-    medians = group_median(base, keys, "SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO", rows_at_most)
-    ranked = group_ranks(base, keys, "SCORE_IPRF", rows_at_most)
+    medians = group_median(base, keys, "SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO")
+    ranked = group_ranks(base, keys, "SCORE_IPRF")
     # A missing sector is a peer group for the ranks, but has no median (plain equality), as in the definition.
     return ranked.join(medians, keys, "left").select(
         *LONG_KEYS,
@@ -179,23 +179,18 @@ def indicators_with_status(balances: DataFrame) -> DataFrame:
 # --- rankings ---------------------------------------------------------------------------------
 
 
-def indicator_ranking(long: DataFrame, top: int = 15) -> DataFrame:
-    """The best ``top`` companies per year, sector and priority indicator, best first.
+def indicator_ranking(long: DataFrame, top: int | None = None) -> DataFrame:
+    """Companies ranked per year, sector and priority indicator, best first; the direction comes from the indicator.
 
-    The direction comes from the indicator. Only ``top`` rows per group leave a map task.
+    ``top`` limits the ranking for a chart.
     """
     spec = literal_frame(
         long.sparkSession, [(code, better) for _, code, better in S.PRIORITY_INDICATORS], "COD_INDICADOR string, MELHOR string"
     )
     signed = F.when(F.col("MELHOR") == "lower", F.col("VL_INDICADOR")).otherwise(-F.col("VL_INDICADOR"))
-    group = Window.partitionBy("ANO_FISCAL", "SETOR", "COD_INDICADOR").orderBy("_key", "CNPJ_CIA")
-    return (
-        long.join(F.broadcast(spec), "COD_INDICADOR")
-        .withColumn("_key", signed)
-        .withColumn("POSICAO", F.row_number().over(group))
-        .filter(F.col("POSICAO") <= top)
-        .drop("_key", "MELHOR")
-    )
+    keyed = long.join(F.broadcast(spec), "COD_INDICADOR").withColumn("_key", signed).drop("MELHOR")
+    groups = ["ANO_FISCAL", "SETOR", "COD_INDICADOR"]
+    return group_positions(keyed, groups, ["_key", "CNPJ_CIA"], "POSICAO", top).drop("_key")
 
 
 def indicator_snapshot(long: DataFrame) -> DataFrame:
@@ -214,10 +209,10 @@ def indicator_snapshot(long: DataFrame) -> DataFrame:
     return wanted.join(values, ["CNPJ_CIA", "ANO_FISCAL", "COD_INDICADOR"], "left")
 
 
-def entity_against_sector(stored_mart: DataFrame, columns: list[str], rows_at_most: int | None = None) -> DataFrame:
+def entity_against_sector(stored_mart: DataFrame, columns: list[str]) -> DataFrame:
     """A company's indicators beside the median of its sector and year, long form."""
     long = unpivot_indicators(stored_mart, columns)
-    medians = materialise(sector_medians(long, rows_at_most), "sector_medians")
+    medians = materialise(sector_medians(long), "sector_medians")
     return long.join(medians, ["ANO_FISCAL", "SETOR", "COD_INDICADOR"]).select(
         "CNPJ_CIA", "ANO_FISCAL", "COD_INDICADOR", "VL_INDICADOR", "MEDIANA_SETOR_ANO"
     )

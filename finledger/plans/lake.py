@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from finledger.operators.normalise import current_period, newest_lines, normalise_lines
 from finledger.operators.rows import newest_first, newest_row
@@ -56,8 +55,3 @@ def simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = silver_lines(spark, sf_dir)
     bp, dre, dfc = (repaired_values(lines, code) for code in ("BP", "DRE", "DFC"))
     return simple_mart(bp, dre, dfc, companies(spark, sf_dir))
-
-
-def row_bound(spark: SparkSession, sf_dir: str, table: str = "lineitem") -> int:
-    """Rows of a source table, from the file footers: an upper bound for any group derived from it one to one."""
-    return ledger.read_table(spark, sf_dir, table).select(F.count("*")).first()[0]

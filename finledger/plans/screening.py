@@ -14,6 +14,7 @@ from finledger.operators.distribution import clip_to_quantiles, fractional_rank,
 from finledger.operators.rows import latest_non_null
 from finledger.session import materialise
 
+# Indicators of the liquidity trend.
 LIQUIDITY = ["IND_LIQUIDEZ_GERAL", "IND_LIQUIDEZ_CORRENTE", "IND_LIQUIDEZ_SECA", "IND_LIQUIDEZ_IMEDIATA"]
 # Indicators of the sector tables; True where lower is better.
 SECTOR_TABLE: dict[str, bool] = {
@@ -28,20 +29,22 @@ SECTOR_TABLE: dict[str, bool] = {
 # Profiles that count as an alert, and as sound.
 ALERT_PROFILES = ["IV — Alto Risco", "V — Muito Ruim"]
 SOUND_PROFILES = ["I — Excelente", "II — Solido"]
+# Flags of the radar.
 ALERTS = ["LC_CRITICA", "PCAT_ALTO", "ML_NEGATIVA", "ROE_NEGATIVO", "CICLO_LONGO", "FLEURIET_IV_V"]
 
 
-def prepare(simple: DataFrame, first_year: int = 2010, last_year: int = 2024) -> DataFrame:
-    """Useful years, short sector label and working-capital profile."""
-    return (
-        simple.withColumn("ANO", F.year("DT_REFER"))
-        .filter(F.col("ANO").between(first_year, last_year))
-        .withColumns(
-            {
-                "SETOR_LABEL": sector_label("SETOR"),
-                "FLEURIET": working_capital_profile("IND_CGL", "IND_NCG", "IND_ST"),
-            }
-        )
+def prepare(simple: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """Year, short sector label and working-capital profile; useful years only, where they are given."""
+    dated = simple.withColumn("ANO", F.year("DT_REFER"))
+    if first_year is not None:
+        dated = dated.filter(F.col("ANO") >= first_year)
+    if last_year is not None:
+        dated = dated.filter(F.col("ANO") <= last_year)
+    return dated.withColumns(
+        {
+            "SETOR_LABEL": sector_label("SETOR"),
+            "FLEURIET": working_capital_profile("IND_CGL", "IND_NCG", "IND_ST"),
+        }
     )
 
 
@@ -84,37 +87,36 @@ def long_form(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     return df.unpivot(ids, columns, "INDICADOR", "VALOR").filter(F.col("VALOR").isNotNull())
 
 
-def median_trend(df: DataFrame, keys: list[str], columns: list[str], rows_at_most: int | None = None) -> DataFrame:
+def median_trend(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Median of every column per key, long form."""
-    return group_quantiles(long_form(df, keys, columns), [*keys, "INDICADOR"], "VALOR", {"MEDIANA": 0.5}, rows_at_most)
+    return group_quantiles(long_form(df, keys, columns), [*keys, "INDICADOR"], "VALOR", {"MEDIANA": 0.5})
 
 
 def median_heat(
-    df: DataFrame, column: str, years: list[int], rows_at_most: int | None = None
-) -> DataFrame:
+    df: DataFrame, column: str, years: list[int]) -> DataFrame:
     """Sector by year table of medians; years are columns."""
-    medians = group_quantiles(df, ["SETOR_LABEL", "ANO"], column, {"M": 0.5}, rows_at_most)
+    medians = group_quantiles(df, ["SETOR_LABEL", "ANO"], column, {"M": 0.5})
     return medians.groupBy("SETOR_LABEL").agg(
         *[F.max(F.when(F.col("ANO") == year, F.col("M"))).alias(f"ANO_{year}") for year in years]
     )
 
 
-def percentile_table(df: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def percentile_table(df: DataFrame) -> DataFrame:
     long = long_form(df, ["SETOR_LABEL"], list(SECTOR_TABLE))
     wanted = {"P25": 0.25, "P50": 0.5, "P75": 0.75, "P90": 0.9}
-    return group_quantiles(long, ["SETOR_LABEL", "INDICADOR"], "VALOR", wanted, rows_at_most)
+    return group_quantiles(long, ["SETOR_LABEL", "INDICADOR"], "VALOR", wanted)
 
 
-def sector_scorecard(df: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def sector_scorecard(df: DataFrame) -> DataFrame:
     """Sector medians ranked from 0 to 1 (higher is better), one column per indicator. A row per sector."""
     long = long_form(df, ["SETOR_LABEL"], list(SECTOR_TABLE))
-    medians = group_quantiles(long, ["SETOR_LABEL", "INDICADOR"], "VALOR", {"M": 0.5}, rows_at_most)
-    wide = medians.groupBy("SETOR_LABEL").agg(
-        *[F.max(F.when(F.col("INDICADOR") == c, F.col("M"))).alias(f"M_{c}") for c in SECTOR_TABLE]
+    medians = group_quantiles(long, ["SETOR_LABEL", "INDICADOR"], "VALOR", {"M": 0.5})
+    ranked = fractional_rank(medians, ["INDICADOR"], "M", "_share")
+    lower = [c for c, lower_is_better in SECTOR_TABLE.items() if lower_is_better]
+    share = F.when(F.col("INDICADOR").isin(lower), 1 - F.col("_share")).otherwise(F.col("_share"))
+    return ranked.groupBy("SETOR_LABEL").agg(
+        *[F.max(F.when(F.col("INDICADOR") == c, share)).alias(c) for c in SECTOR_TABLE]
     )
-    for c, lower_is_better in SECTOR_TABLE.items():
-        wide = fractional_rank(wide, f"M_{c}", c, inverted=lower_is_better)
-    return wide.select("SETOR_LABEL", *SECTOR_TABLE)
 
 
 def profile_distribution(df: DataFrame) -> DataFrame:
@@ -147,18 +149,17 @@ def intensity_ratios(df: DataFrame) -> DataFrame:
 
 
 def winsorise(
-    df: DataFrame, column: str, low: float = 0.02, high: float = 0.98, rows_at_most: int | None = None
-) -> DataFrame:
+    df: DataFrame, column: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """Column limited to its own year's quantiles."""
-    return clip_to_quantiles(df, ["ANO"], column, f"{column}_VIZ", low, high, rows_at_most)
+    return clip_to_quantiles(df, ["ANO"], column, f"{column}_VIZ", low, high)
 
 
-def outlier_distance(df: DataFrame, x: str, y: str, top: int = 13, rows_at_most: int | None = None) -> DataFrame:
+def outlier_distance(df: DataFrame, x: str, y: str, top: int = 13) -> DataFrame:
     """The ``top`` companies of the last year farthest from the median of both axes, in standard deviations."""
     points = last_year(df).select("CNPJ_CIA", "ANO", F.col(x).alias("X"), F.col(y).alias("Y")).dropna()
     spread = points.groupBy("ANO").agg(F.stddev_samp("X").alias("SX"), F.stddev_samp("Y").alias("SY"))
-    mx = group_quantiles(points, ["ANO"], "X", {"MX": 0.5}, rows_at_most)
-    my = group_quantiles(points, ["ANO"], "Y", {"MY": 0.5}, rows_at_most)
+    mx = group_quantiles(points, ["ANO"], "X", {"MX": 0.5})
+    my = group_quantiles(points, ["ANO"], "Y", {"MY": 0.5})
     centre = materialise(spread.join(mx, "ANO").join(my, "ANO"), "centre")
     dx = (F.col("X") - F.col("MX")) / F.nullif("SX", F.lit(0.0))
     dy = (F.col("Y") - F.col("MY")) / F.nullif("SY", F.lit(0.0))
@@ -171,6 +172,7 @@ def outlier_distance(df: DataFrame, x: str, y: str, top: int = 13, rows_at_most:
     )
 
 
+# What the flags are raised on.
 ALERT_INPUTS = [
     "IND_LIQUIDEZ_CORRENTE",
     "IND_PCT_AT",
@@ -203,7 +205,7 @@ def alert_frequency(flags: DataFrame) -> DataFrame:
     return long.withColumn("PCT", F.round(F.col("N") * 100.0 / F.nullif("EMPRESAS", F.lit(0)), 2))
 
 
-def executive_summary(df: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def executive_summary(df: DataFrame) -> DataFrame:
     """Medians of the last year, share of sound profiles (types I and II) and of companies with three alerts or more."""
     columns = [
         "IND_LIQUIDEZ_CORRENTE",
@@ -215,7 +217,7 @@ def executive_summary(df: DataFrame, rows_at_most: int | None = None) -> DataFra
         "IND_CICLO_FINANCEIRO",
     ]
     last = last_year(df)
-    trend = median_trend(last, ["ANO"], columns, rows_at_most)
+    trend = median_trend(last, ["ANO"], columns)
     wanted = literal_frame(df.sparkSession, [(c,) for c in columns], "INDICADOR string")
     medians = wanted.join(trend, "INDICADOR", "left").select(
         F.col("INDICADOR").alias("METRICA"), F.col("MEDIANA").alias("VALOR")

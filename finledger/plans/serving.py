@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finledger.functions.expressions import digits
+from finledger.operators.distribution import group_positions
 from finledger.operators.hierarchy import FILING
 from finledger.operators.rows import newest_row
 
@@ -51,8 +52,13 @@ def statement(
     return df.select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "DS_CONTA", value.alias("VALOR"))
 
 
+def fiscal_years(df: DataFrame, column: str) -> list[int]:
+    """The years of a stored table, in order: the columns of a table by year."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+
+
 def statement_pivot(df: DataFrame, years: list[int]) -> DataFrame:
-    """Accounts by fiscal year, missing years as zero. The years are given, so no extra pass looks for them."""
+    """Accounts by fiscal year, missing years as zero."""
     grouped = df.groupBy("CNPJ_CIA", "CD_CONTA", "DS_CONTA").pivot("DT_REFER_ANO", years)
     return grouped.agg(F.sum("VL_CONTA_TRATADO")).na.fill(0.0).withColumnsRenamed({str(y): f"ANO_{y}" for y in years})
 
@@ -115,12 +121,11 @@ def score_history(scores: DataFrame) -> DataFrame:
     )
 
 
-def score_peers_of_last_year(peers: DataFrame, scores: DataFrame, top: int = 20) -> DataFrame:
-    """Best scores per sector in the last year of ``scores``."""
+def score_peers_of_last_year(peers: DataFrame, scores: DataFrame, top: int | None = None) -> DataFrame:
+    """Companies ranked by score per sector in the last year of ``scores``; ``top`` limits the ranking for a chart."""
     year = scores.filter(F.col("SCORE_IPRF").isNotNull()).select(F.max("ANO_FISCAL")).scalar()
-    last = peers.filter(F.col("ANO_FISCAL") == year)
-    ordered = Window.partitionBy("SETOR").orderBy(F.col("SCORE_IPRF").desc(), "CNPJ_CIA")
-    return last.withColumn("POSICAO", F.row_number().over(ordered)).filter(F.col("POSICAO") <= top)
+    last = peers.filter(F.col("ANO_FISCAL") == year).withColumn("_key", -F.col("SCORE_IPRF"))
+    return group_positions(last, ["SETOR"], ["_key", "CNPJ_CIA"], "POSICAO", top).drop("_key")
 
 
 def largest(df: DataFrame, account: str, top: int = 10) -> DataFrame:

@@ -83,18 +83,18 @@ def indicators_unpivot(spark, sf):
 
 def median_overall(spark, sf):
     long = benchmark.unpivot_indicators(lake.mart(spark, sf))
-    medians = benchmark.overall_medians(long, lake.row_bound(spark, sf))
+    medians = benchmark.overall_medians(long)
     return report(medians, [], ["MEDIANA_GERAL_ANO"], places=4)
 
 
 def median_sector(spark, sf):
     long = benchmark.unpivot_indicators(lake.mart(spark, sf))
-    medians = benchmark.sector_medians(long, lake.row_bound(spark, sf))
+    medians = benchmark.sector_medians(long)
     return report(medians, [], ["MEDIANA_SETOR_ANO"], places=4)
 
 
 def median_sector_distributed(spark, sf):
-    """The same medians by the way that is taken for groups too large for one task."""
+    """The same medians over the stored mart."""
     long = benchmark.unpivot_indicators(lake.stored_mart(spark, sf))
     return report(benchmark.sector_medians(long), [], ["MEDIANA_SETOR_ANO"], places=4)
 
@@ -103,7 +103,7 @@ LONG_RATIOS = ["VL_INDICADOR", "MEDIANA_GERAL_ANO", "MEDIANA_SETOR_ANO", "DELTA_
 
 
 def benchmark_long(spark, sf):
-    table = benchmark.benchmark(lake.stored_mart(spark, sf), lake.row_bound(spark, sf))
+    table = benchmark.benchmark(lake.stored_mart(spark, sf))
     return report(table, [], LONG_RATIOS, places=4)
 
 
@@ -142,13 +142,14 @@ def _stored_scores(spark, sf):
 
 
 def score_peer_rank(spark, sf):
-    peers = benchmark.score_peers(_stored_scores(spark, sf), lake.row_bound(spark, sf))
+    peers = benchmark.score_peers(_stored_scores(spark, sf))
     return report(peers, [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def score_peer_rank_distributed(spark, sf):
-    """The same ranks by the way that is taken for peer groups too large for one task."""
-    return report(benchmark.score_peers(_stored_scores(spark, sf)), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
+    """The same ranks from scores that are not stored first."""
+    scored = benchmark.risk_scores(lake.mart(spark, sf)).select(*benchmark.LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
+    return report(benchmark.score_peers(scored), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def score_history(spark, sf):
@@ -156,9 +157,9 @@ def score_history(spark, sf):
 
 
 def score_peers(spark, sf):
-    """Best twenty scores of the last year in every sector, with their sector median and rank."""
+    """Scores of the last year ranked in every sector, with their sector median and rank."""
     scores = _stored_scores(spark, sf)
-    peers = benchmark.score_peers(scores, lake.row_bound(spark, sf))
+    peers = benchmark.score_peers(scores)
     return report(serving.score_peers_of_last_year(peers, scores), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
@@ -176,7 +177,7 @@ COMPARED = ["LIQ_CORRENTE", "LIQ_SECA", "MARGEM_LIQUIDA", "ROE", "GIRO_ESTOQUES"
 
 
 def entity_vs_sector(spark, sf):
-    compared = benchmark.entity_against_sector(lake.stored_mart(spark, sf), COMPARED, lake.row_bound(spark, sf))
+    compared = benchmark.entity_against_sector(lake.stored_mart(spark, sf), COMPARED)
     return report(compared, [], ["VL_INDICADOR", "MEDIANA_SETOR_ANO"], places=4)
 
 

@@ -10,14 +10,19 @@ from finledger.plans import curation, lake, mart, screening, serving
 from finledger.queries.report import report
 from finledger.session import materialise
 
-# The driver tables cover 1995 to 2001; the last year is incomplete, as in the useful-period rule.
-FIRST, LAST = 1995, 2000
-YEARS = list(range(FIRST, LAST + 1))
+# The useful period of the year-range query.
+FIRST, LAST = 1996, 2000
 
 
 def _prepared(spark, sf, stored: bool = False):
     simple = lake.simple(spark, sf)
-    return screening.prepare(materialise(simple, "simple_mart") if stored else simple, FIRST, LAST)
+    return screening.prepare(materialise(simple, "simple_mart") if stored else simple)
+
+
+def useful_period(spark, sf):
+    """Company-years per sector in a range of years."""
+    useful = screening.prepare(lake.simple(spark, sf), FIRST, LAST)
+    return useful.groupBy("SETOR_LABEL", "ANO").agg(F.count("*").alias("N"))
 
 
 def indicator_mart_simple(spark, sf):
@@ -52,33 +57,33 @@ def simple_fill_rate(spark, sf):
 
 
 def median_trend(spark, sf):
-    trend = screening.median_trend(_prepared(spark, sf), ["ANO"], screening.LIQUIDITY, lake.row_bound(spark, sf))
+    trend = screening.median_trend(_prepared(spark, sf), ["ANO"], screening.LIQUIDITY)
     return report(trend, [], ["MEDIANA"])
 
 
 def median_heat(spark, sf):
-    heat = screening.median_heat(
-        screening.in_top_sectors(_prepared(spark, sf, stored=True)), "IND_LIQUIDEZ_CORRENTE", YEARS, lake.row_bound(spark, sf)
-    )
-    return report(heat, [], [f"ANO_{y}" for y in YEARS])
+    prepared = _prepared(spark, sf, stored=True)
+    years = serving.fiscal_years(prepared, "ANO")
+    heat = screening.median_heat(screening.in_top_sectors(prepared), "IND_LIQUIDEZ_CORRENTE", years)
+    return report(heat, [], [f"ANO_{y}" for y in years])
 
 
 def percentile_table(spark, sf):
     table = screening.percentile_table(
-        screening.in_top_sectors(_prepared(spark, sf, stored=True)), lake.row_bound(spark, sf)
+        screening.in_top_sectors(_prepared(spark, sf, stored=True))
     )
     return report(table, [], ["P25", "P50", "P75", "P90"])
 
 
 def sector_scorecard(spark, sf):
     card = screening.sector_scorecard(
-        screening.in_top_sectors(_prepared(spark, sf, stored=True)), lake.row_bound(spark, sf)
+        screening.in_top_sectors(_prepared(spark, sf, stored=True))
     )
     return report(card, [], list(screening.SECTOR_TABLE))
 
 
 def describe_by_sector(spark, sf):
-    described = describe_group(_prepared(spark, sf, stored=True), ["SETOR_LABEL"], "IND_LIQUIDEZ_CORRENTE", lake.row_bound(spark, sf))
+    described = describe_group(_prepared(spark, sf, stored=True), ["SETOR_LABEL"], "IND_LIQUIDEZ_CORRENTE")
     return report(described, [], ["MEDIA", "DESVIO", "MINIMO", "MAXIMO", "P25", "P50", "P75"])
 
 
@@ -97,7 +102,7 @@ def intensity_ratios(spark, sf):
 
 def winsorise(spark, sf):
     clipped = screening.winsorise(
-        _prepared(spark, sf, stored=True), "IND_LIQUIDEZ_CORRENTE", rows_at_most=lake.row_bound(spark, sf)
+        _prepared(spark, sf, stored=True), "IND_LIQUIDEZ_CORRENTE"
     ).select("CNPJ_CIA", "DT_REFER", "IND_LIQUIDEZ_CORRENTE", "IND_LIQUIDEZ_CORRENTE_VIZ")
     return report(clipped, [], ["IND_LIQUIDEZ_CORRENTE", "IND_LIQUIDEZ_CORRENTE_VIZ"])
 
@@ -106,8 +111,7 @@ def outlier_distance(spark, sf):
     found = screening.outlier_distance(
         screening.in_top_sectors(_prepared(spark, sf, stored=True)),
         "IND_MARGEM_BRUTA",
-        "IND_MARGEM_LIQUIDA",
-        rows_at_most=lake.row_bound(spark, sf),
+        "IND_MARGEM_LIQUIDA"
     )
     return report(found, [], ["X", "Y", "DISTANCIA"], places=4)
 
@@ -131,7 +135,7 @@ def alert_frequency(spark, sf):
 
 
 def executive_summary(spark, sf):
-    summary = screening.executive_summary(_annual(_prepared(spark, sf, stored=True)), lake.row_bound(spark, sf))
+    summary = screening.executive_summary(_annual(_prepared(spark, sf, stored=True)))
     return report(summary, [], ["VALOR"])
 
 
@@ -152,8 +156,9 @@ def reference_dates(spark, sf):
 
 
 def statement_pivot(spark, sf):
-    wide = serving.statement_pivot(lake.curated(spark, sf, "BP"), YEARS)
-    return report(wide, [f"ANO_{y}" for y in YEARS])
+    stored = materialise(lake.curated(spark, sf, "BP"), "bp")
+    years = serving.fiscal_years(stored, "DT_REFER_ANO")
+    return report(serving.statement_pivot(stored, years), [f"ANO_{y}" for y in years])
 
 
 def latest_period(spark, sf):
@@ -186,7 +191,7 @@ def top_entities(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in [
-        indicator_mart_simple, mart_outer_assembly, universe_by_year, top_sectors, simple_fill_rate, median_trend,
+        indicator_mart_simple, mart_outer_assembly, useful_period, universe_by_year, top_sectors, simple_fill_rate, median_trend,
         median_heat, percentile_table, sector_scorecard, describe_by_sector, working_capital_profile,
         class_mix_by_year, intensity_ratios, winsorise, outlier_distance, latest_non_null, alert_radar,
         alert_frequency, executive_summary, explore_mean, entity_statement, reference_dates, statement_pivot,

@@ -390,7 +390,7 @@ def variable_coverage(spark, sf):
 
 
 def variable_range(spark, sf):
-    ranges = audit.variable_range(_stacked(spark, sf), lake.row_bound(spark, sf))
+    ranges = audit.variable_range(_stacked(spark, sf))
     return report(ranges, ["MINIMO", "MAXIMO"], ["MEDIANA"], places=4)
 
 

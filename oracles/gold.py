@@ -310,7 +310,6 @@ SELECT *, CASE WHEN IND_CGL > 0 AND IND_NCG < 0 AND IND_ST > 0 THEN 'I — Excel
                WHEN IND_CGL < 0 AND IND_NCG < 0 AND IND_ST < 0 THEN 'V — Muito Ruim'
                WHEN IND_CGL < 0 AND IND_NCG < 0 AND IND_ST > 0 THEN 'VI — Arriscado' ELSE 'Indefinido' END AS FLEURIET
 FROM (SELECT *, CAST(year(DT_REFER) AS INTEGER) AS ANO, coalesce(left(SETOR, 38), 'Não Classificado') AS SETOR_LABEL FROM simple)
-WHERE ANO BETWEEN 1995 AND 2000
 """,
 )
 cte(

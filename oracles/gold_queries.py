@@ -93,14 +93,14 @@ round(SCORE_IPRF - lag(SCORE_IPRF) OVER (PARTITION BY CNPJ_CIA ORDER BY ANO_FISC
         "peers",
         """SELECT * REPLACE (round(SCORE_IPRF, 9) + 0.0 AS SCORE_IPRF, round(MEDIANA_IPRF_SETOR_ANO, 9) + 0.0 AS MEDIANA_IPRF_SETOR_ANO) FROM (SELECT *,
 CAST(row_number() OVER (PARTITION BY SETOR ORDER BY SCORE_IPRF DESC, CNPJ_CIA) AS INTEGER) AS POSICAO
-FROM peers WHERE ANO_FISCAL = (SELECT max(ANO_FISCAL) FROM peers)) WHERE POSICAO <= 20""",
+FROM peers WHERE ANO_FISCAL = (SELECT max(ANO_FISCAL) FROM peers))""",
     ),
     "indicator_ranking": query(
         "long",
         f"""SELECT CNPJ_CIA, DENOM_CIA, SETOR, ANO_FISCAL, COD_INDICADOR, round(VL_INDICADOR, 4) + 0.0 AS VL_INDICADOR, POSICAO FROM (
 SELECT l.*, CAST(row_number() OVER (PARTITION BY ANO_FISCAL, SETOR, COD_INDICADOR
   ORDER BY CASE b WHEN 'lower' THEN VL_INDICADOR ELSE -VL_INDICADOR END, CNPJ_CIA) AS INTEGER) AS POSICAO
-FROM long l JOIN (VALUES {_priority}) p(i, g, c, b) ON c = COD_INDICADOR) WHERE POSICAO <= 15""",
+FROM long l JOIN (VALUES {_priority}) p(i, g, c, b) ON c = COD_INDICADOR)""",
     ),
     "indicator_snapshot": query(
         "long",

@@ -8,7 +8,7 @@ from oracles.base import money, query, rounded
 from oracles.gold import SIMPLE_INDICATORS, SIMPLE_MONEY, SIMPLE_RATIO_NAMES
 
 V = "CAST(CAST(VL_CONTA_TRATADO AS DECIMAL(28,2)) AS DOUBLE) AS VL_CONTA_TRATADO"
-YEARS = range(1995, 2001)
+YEARS = range(1995, 2002)
 LIQUIDITY = ["IND_LIQUIDEZ_GERAL", "IND_LIQUIDEZ_CORRENTE", "IND_LIQUIDEZ_SECA", "IND_LIQUIDEZ_IMEDIATA"]
 TABLE = [
     "IND_LIQUIDEZ_CORRENTE", "IND_PCT_AT", "IND_MARGEM_BRUTA", "IND_MARGEM_LIQUIDA", "IND_ROE", "IND_ROA", "IND_CICLO_FINANCEIRO",
@@ -62,6 +62,7 @@ _raw_money = [c for c in SIMPLE_MONEY if c.startswith("V") and c not in ("V06_ES
 ORACLES = {
     "indicator_mart_simple": query("simple", f"SELECT * REPLACE ({money(*SIMPLE_MONEY)}, {rounded(*SIMPLE_RATIO_NAMES)}) FROM simple"),
     "mart_outer_assembly": query("simple_raw", f"SELECT * REPLACE ({money(*_raw_money)}) FROM simple_raw"),
+    "useful_period": query("prep", "SELECT SETOR_LABEL, ANO, count(*) AS N FROM prep WHERE ANO BETWEEN 1996 AND 2000 GROUP BY ALL"),
     "universe_by_year": query(
         "prep", "SELECT ANO, count(DISTINCT CNPJ_CIA) AS N_EMPRESAS, count(DISTINCT SETOR_LABEL) AS N_SETORES FROM prep GROUP BY ALL"
     ),
