@@ -19,6 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 NONE = np.int32(2**31 - 1)
 CELLS = 1 << 19
 LONG = 4096
-CHARS = 1 << 22
+CHARS = 1 << 20
 SHIFT = 20
 
 
@@ -241,10 +243,20 @@ def decode_ids(packed: bytes, vocabulary: Vocabulary) -> bytes:
     return gathered(vocabulary.flat, vocabulary.offsets, ids)[0].tobytes()
 
 
+def slices(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch, some at a time, about ``CHARS`` bytes; null counts as empty."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
+    part = np.cumsum(sizes) // CHARS
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(edges, [*edges[1:], len(texts)], strict=True):
+        yield [t or "" for t in texts.slice(a, b - a).to_pylist()]
+
+
 class ByteBpe:
     """Columns that encode and decode by one vocabulary, which is read on the driver and sent to the executors once.
 
-    The vocabulary's size bounds what is broadcast: tens of thousands of tokens, a few megabytes.
+    The vocabulary's size bounds what is broadcast: tens of thousands of tokens, a few megabytes. A batch stays in its
+    Arrow buffer and is turned into Python texts a slice at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
@@ -255,11 +267,12 @@ class ByteBpe:
         """Packed ids of the whole text; null and empty texts have no ids."""
         shared, pattern = self.vocabulary, self.pattern
 
-        @F.pandas_udf("binary")
-        def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary, pieces = shared.value, regex.compile(pattern)
             for texts in batches:
-                yield pd.Series(encode_texts([t or "" for t in texts], vocabulary, pieces), dtype=object)
+                parts = [pa.array(encode_texts(t, vocabulary, pieces), pa.binary()) for t in slices(texts)]
+                yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
         return encoded(F.col(text))
 
@@ -267,14 +280,33 @@ class ByteBpe:
         """The bytes that packed ids stand for; null stays null. An id outside the vocabulary is an error."""
         shared = self.vocabulary
 
-        @F.pandas_udf("binary")
-        def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary = shared.value
             for rows in batches:
-                yield pd.Series([None if r is None else decode_ids(r, vocabulary) for r in rows], dtype=object)
+                yield pa.array([None if r is None else decode_ids(r.as_py(), vocabulary) for r in rows], pa.binary())
 
         return decoded(F.col(ids))
 
+    def round_trip(self, text: str = "text") -> Column:
+        """struct<ids, decoded>: the packed ids, and the bytes that decoding these ids gives, in one pass."""
+        shared, pattern = self.vocabulary, self.pattern
+        kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+        @F.arrow_udf("struct<ids: binary, decoded: binary>")
+        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            vocabulary, pieces = shared.value, regex.compile(pattern)
+            for texts in batches:
+                parts = []
+                for some in slices(texts):
+                    ids = encode_texts(some, vocabulary, pieces)
+                    back = [decode_ids(i, vocabulary) for i in ids]
+                    columns = [pa.array(ids, pa.binary()), pa.array(back, pa.binary())]
+                    parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+                yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+        return both(F.col(text))
+
 
 def ids_array(ids: str = "ids") -> Column:
     """Packed ids as an array of longs."""
@@ -288,8 +320,7 @@ def ids_array(ids: str = "ids") -> Column:
 
 def tokenised(docs: DataFrame, bpe: ByteBpe, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, packed ids and the decoded bytes of every row; repeated rows stay, other columns are left behind."""
-    encoded = docs.select(F.col(key), bpe.encode(text).alias("ids"))
-    return encoded.select(key, "ids", bpe.decode("ids").alias("decoded"))
+    return docs.select(F.col(key), bpe.round_trip(text).alias("_both")).select(key, "_both.ids", "_both.decoded")
 
 
 def digests(tokens: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -66,6 +66,8 @@ def test_rows(spark, reference):
     assert found[3].decoded_sha256 == hashlib.sha256(b"").hexdigest()
     unpacked = docs.select(coder.encode("text").alias("ids")).select(bpe.ids_array().alias("a")).first().a
     assert unpacked == known
+    back = docs.select(coder.encode("text").alias("ids")).select(coder.decode("ids").alias("b")).collect()
+    assert [bytes(r.b) for r in back] == [b"it's a test"] * 2 + [b""] * 2
     assert bpe.digests(bpe.tokenised(docs.limit(0), coder)).collect() == []
 
 
