@@ -10,6 +10,7 @@ from finledger.functions.expressions import prefix
 from finledger.functions.literals import literal_frame
 from finledger.operators.distribution import _attach, group_quantiles
 from finledger.operators.hierarchy import FILING, pair_status, parent_child_pairs
+from finledger.session import materialise
 
 VALUE = "VL_CONTA_TRATADO"
 
@@ -180,10 +181,14 @@ def publish_gate(df: DataFrame) -> DataFrame:
 
 
 def write_if_approved(df: DataFrame, path: str) -> bool:
-    """Rebuild a table only when the gate approves it; tells whether it was written."""
-    if not publish_gate(df).first()["APROVADO"]:
+    """Rebuild a table only when the gate approves it; tells whether it was written.
+
+    The gate judges a staging table, and that table is what is published.
+    """
+    staged = materialise(df, "staged")
+    if not publish_gate(staged).first()["APROVADO"]:
         return False
-    df.write.mode("overwrite").parquet(path)
+    staged.write.mode("overwrite").parquet(path)
     return True
 
 

@@ -7,14 +7,16 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finledger import schema as S
 from finledger.plans import lake, ledger
 from finledger.queries.report import report
-from finledger.session import work_path
-from finledger.sources import catalog, extracts, tables
+from finledger.session import materialise, work_path
+from finledger.sources import catalog, extracts, loader, tables
 from finledger.streaming.intake import stage_new_files
 
 RAW = S.RAW_COLUMNS
@@ -41,30 +43,96 @@ def scan_delimited(spark, sf):
     return _staged_totals(extracts.read_delimited(spark, path, RAW), "CNPJ_CIA", "ORDEM_EXERC")
 
 
-def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One archive per Arrow batch, one member per table: containers whose size the batch bounds."""
-    for batch in batches:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            for name, rows in batch.groupby("ARQUIVO"):
-                text = rows[RAW].to_csv(sep=extracts.SEPARATOR, index=False, lineterminator="\n")
-                archive.writestr(name, text.encode("cp1252", errors="replace"))
-        yield pd.DataFrame({"path": ["dfp_cia_aberta.zip"], "content": [buffer.getvalue()]})
-
-
-def _archives(spark, sf) -> DataFrame:
-    return _text_lines(spark, sf).mapInPandas(_zip_batches, "path string, content binary")
+DAMAGED = "dfp_cia_aberta_dra_con"
+
+
+def _container(members: list[tuple[str, pd.DataFrame]], damage: bool = False) -> bytes:
+    """An archive of delimited members; with ``damage`` a byte of each member's data is wrong."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, rows in members:
+            columns = list(rows.columns)
+            if "_bpp_" in name:
+                rows = rows[columns[::-1]]
+            if "_dre_" in name:
+                rows = rows.assign(NOVA_COLUNA="x")
+            text = rows.to_csv(sep=extracts.SEPARATOR, index=False, lineterminator="\n")
+            archive.writestr(name, text.encode("cp1252", errors="replace"))
+        middles = [i.header_offset + 30 + len(i.filename) + i.compress_size // 2 for i in archive.infolist()]
+    content = bytearray(buffer.getvalue())
+    for middle in middles if damage else []:
+        content[middle] ^= 0xFF
+    return bytes(content)
+
+
+def _write_archives(spark: SparkSession, sf: str, folder: str, damaged: bool) -> None:
+    """Archives in the shared folder, one per Arrow batch of lines, one member per table and year.
+
+    Some members have their columns in another order, some have one more. With ``damaged`` the members of one table are
+    in archives of their own, with bad data, and there are archives without members. A repeated task overwrites its files.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, place = FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            members = [(name, rows[RAW]) for name, rows in batch.groupby("ARQUIVO")]
+            bad = [m for m in members if damaged and m[0].startswith(DAMAGED)]
+            archives = {"dfp": _container([m for m in members if m not in bad] if bad else members)}
+            if damaged:
+                archives |= {"vazio": _container([]), "ruim": _container(bad, damage=True)}
+            for kind, content in archives.items():
+                with system.open_output_stream(f"{place}/{kind}_{part}_{number}.zip") as out:
+                    out.write(content)
+            yield pd.DataFrame({"archives": [len(archives)]})
+
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    _text_lines(spark, sf).mapInPandas(write, "archives int").agg(F.sum("archives")).collect()
+
+
+def _expanded(spark, sf) -> DataFrame:
+    folder = work_path(spark, "archives")
+    _write_archives(spark, sf, folder, damaged=False)
+    return materialise(extracts.read_archives(spark, folder), "blocks")
 
 
 def scan_archive(spark, sf):
-    """All lines packed into archives of several members, expanded and parsed again, summed per member and company."""
-    lines = extracts.expand_archives(_archives(spark, sf))
-    return _staged_totals(extracts.parse_members(lines, RAW), "metadata_membro", "CNPJ_CIA")
+    """All lines packed into archives of several members, read back and parsed by name, summed per member and company."""
+    return _staged_totals(extracts.parse_members(_expanded(spark, sf), RAW), "metadata_membro", "CNPJ_CIA")
 
 
 def archive_events(spark, sf):
     """Rows per archive member, as the load log reports them."""
-    return extracts.archive_events(extracts.expand_archives(_archives(spark, sf)))
+    events = extracts.archive_events(_expanded(spark, sf))
+    return events.groupBy("membro", "nivel").agg(F.sum("LINHAS").alias("LINHAS"))
+
+
+def header_drift(spark, sf):
+    """Members whose header adds or lacks columns."""
+    headers = _expanded(spark, sf).select("membro", "cabecalho").distinct()
+    return extracts.header_drift(headers, RAW).select("membro", "COLUNA", "SITUACAO")
+
+
+def intake_loop(spark, sf):
+    """Archives loaded twice over: lines by level and member in the log, and lines in the table.
+
+    Lines that the second run loaded again would count twice.
+    """
+    folder, target, log = (work_path(spark, n) for n in ("archives", "bronze", "log"))
+    _write_archives(spark, sf, folder, damaged=True)
+    for _ in range(2):
+        loader.load_archives(spark, folder, target, log, RAW, "dfp")
+    lines = F.coalesce(F.regexp_extract("mensagem", r"(\d+) linhas", 1).try_cast("bigint"), F.lit(0))
+    logged = tables.read_log(spark, log).groupBy("nivel_log", "tabela_destino").agg(
+        F.bool_or("schema_drift_detectado").alias("schema_drift_detectado"), F.sum(lines).alias("LINHAS")
+    )
+    loaded = spark.read.parquet(target).groupBy(F.concat(F.lit("dfp:"), "metadata_membro").alias("tabela_destino")).agg(
+        F.count("*").alias("LINHAS")
+    )
+    return logged.unionByName(
+        loaded.select(F.lit("TABELA").alias("nivel_log"), "tabela_destino", F.lit(None).cast("boolean").alias("schema_drift_detectado"), "LINHAS")
+    )
 
 
 def source_catalog(spark, sf):
@@ -130,13 +198,22 @@ def load_log_counts(spark, sf):
 
 def pending_files(spark, sf):
     years = lake.raw_lines(spark, sf).select(F.year("DT_REFER").alias("ANO")).distinct()
-    log = _event_log(spark, sf).filter(F.col("ano_referencia") % 2 == 0)
-    return catalog.pending_files(catalog.expected_files(years), log)
+    return catalog.pending_files(catalog.expected_files(years), _event_log(spark, sf))
+
+
+LAKE = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 
 def lake_profile(spark, sf):
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    return catalog.volume_profile({n: ledger.read_table(spark, sf, n) for n in names})
+    return catalog.volume_profile({n: ledger.read_table(spark, sf, n) for n in LAKE})
+
+
+def lake_rows(spark, sf):
+    """The part of the profile that does not depend on how files are laid out."""
+    return lake_profile(spark, sf).select("TABELA", "LINHAS")
 
 
 def load_events(spark, sf):
@@ -165,7 +242,7 @@ def stream_intake(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in [
-        scan_delimited, scan_archive, archive_events, source_catalog, derive_table_name, stage_text, schema_drift,
-        load_log_counts, pending_files, lake_profile, load_events, stream_intake,
+        scan_delimited, scan_archive, archive_events, header_drift, intake_loop, source_catalog, derive_table_name, stage_text, schema_drift,
+        load_log_counts, pending_files, lake_profile, lake_rows, load_events, stream_intake,
     ]
 }

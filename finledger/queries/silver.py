@@ -403,10 +403,9 @@ def fallback_origin(spark, sf):
 
 
 def missing_periods(spark, sf):
-    """Years in which a company's statement lacks its headline total."""
+    """Years in which a company has no line of a statement at all."""
     lines = lake.silver_lines(spark, sf)
-    totals = {"BP": "1", "DRE": "3.01", "DFC": "6.05"}
-    return audit.missing_periods({code: lines.filter(F.col("CD_CONTA") == total) for code, total in totals.items()})
+    return audit.missing_periods({code: lines.filter(F.col("GRUPO_DFP_TRATADO") == code) for code in curation.STATEMENTS})
 
 
 def entities_by_dimension(spark, sf):

@@ -36,20 +36,34 @@ def build_session(app: str = "finledger", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can see: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors can see: ``spark.checkpoint.dir``.
+
+    Where it is unset, a session whose executors are threads of the driver (``local``, as in tests) gets a temporary
+    folder; on a cluster a folder of the driver's machine would lose what the executors write, so that is an error.
+    """
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    chosen = spark.sparkContext.getCheckpointDir()
-    if chosen is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="finledger-"))
-        chosen = spark.sparkContext.getCheckpointDir()
-    return chosen.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="finledger-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables; it is removed when the application ends."""
+    path = f"{shared_dir(spark)}/finledger-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.mkdirs(place):
+        system.deleteOnExit(place)
+    return path
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table."""
-    return f"{shared_dir(spark)}/finledger-{uuid.uuid4().hex}/{name}"
+    return f"{run_dir(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:

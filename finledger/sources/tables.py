@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finledger.schema import LOAD_LOG
+from finledger.session import materialise
 
 
 def append_by_year(df: DataFrame, path: str, year: str) -> None:
@@ -35,10 +36,15 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def written_rows(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Write, read back, and compare row counts per key: nothing lost, nothing doubled."""
-    rebuild(df, path)
-    before = df.groupBy(*keys).agg(F.count("*").alias("ESPERADO"))
-    after = df.sparkSession.read.schema(df.schema).parquet(path).groupBy(*keys).agg(F.count("*").alias("GRAVADO"))
+    """Write, read back, and compare row counts per key: nothing lost, nothing doubled.
+
+    The table is computed once, into a staging table: what is written is what was counted.
+    """
+    spark = df.sparkSession
+    values = materialise(df, "staged")
+    before = values.groupBy(*keys).agg(F.count("*").alias("ESPERADO"))
+    rebuild(values, path)
+    after = spark.read.schema(df.schema).parquet(path).groupBy(*keys).agg(F.count("*").alias("GRAVADO"))
     both = before.join(after, keys, "full")
     return both.withColumn("CONFERE", F.coalesce(F.col("ESPERADO") == F.col("GRAVADO"), F.lit(False)))
 

@@ -23,13 +23,15 @@ def stage_new_files(
         .select("*", F.col("_metadata.file_name").alias("metadata_arquivo_origem"))
     )
 
+    added = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         text = batch.select(
             *[F.col(c).cast("string").alias(c) for c in batch.columns], F.current_timestamp().alias("metadata_data_carga")
         )
         text.write.mode("overwrite").parquet(f"{target}/lote={batch_id}")
+        added.append(spark.read.schema(text.schema).parquet(f"{target}/lote={batch_id}").count())
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    progress = query.lastProgress
-    return int(progress["numInputRows"]) if progress else 0
+    return sum(added)

@@ -19,15 +19,29 @@ _new = [
     "l_linestatus", "l_shipdate",
 ]
 
+_lake = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
+
 ORACLES = {
+    "lake_rows": " UNION ALL ".join(f"SELECT '{t}' AS TABELA, count(*) AS LINHAS FROM {t}" for t in _lake),
     "scan_delimited": query("lines", f"SELECT CNPJ_CIA, ORDEM_EXERC, count(*) AS LINHAS, {TOTAL} FROM lines GROUP BY ALL"),
     "scan_archive": query(
         "lines", f"SELECT {FILE} AS metadata_membro, CNPJ_CIA, count(*) AS LINHAS, {TOTAL} FROM lines GROUP BY ALL"
     ),
-    "archive_events": query(
+    "archive_events": query("lines", f"SELECT {FILE} AS membro, 'INFO' AS nivel, count(*) AS LINHAS FROM lines GROUP BY ALL"),
+    "header_drift": query(
+        "lines",
+        f"""SELECT DISTINCT {FILE} AS membro, 'NOVA_COLUNA' AS COLUNA, 'NOVA' AS SITUACAO FROM lines WHERE TABLE_NAME LIKE '%\\_dre\\_%' ESCAPE '\\'""",
+    ),
+    "intake_loop": query(
         "lines",
-        f"""SELECT 'dfp_cia_aberta.zip' AS arquivo, {FILE} AS membro, 'INFO' AS nivel, CAST(NULL AS VARCHAR) AS mensagem, count(*) AS LINHAS
-FROM lines GROUP BY ALL""",
+        f"""SELECT 'INFO' AS nivel_log, 'dfp:' || {FILE} AS tabela_destino, TABLE_NAME = 'dfp_cia_aberta_dre_con' AS schema_drift_detectado,
+count(*) AS LINHAS FROM lines WHERE TABLE_NAME <> 'dfp_cia_aberta_dra_con' GROUP BY ALL
+UNION ALL SELECT 'TABELA', 'dfp:' || {FILE}, CAST(NULL AS BOOLEAN), count(*) FROM lines WHERE TABLE_NAME <> 'dfp_cia_aberta_dra_con' GROUP BY ALL
+UNION ALL SELECT DISTINCT 'ERROR', 'dfp:' || {FILE}, FALSE, 0 FROM lines WHERE TABLE_NAME = 'dfp_cia_aberta_dra_con'
+UNION ALL SELECT 'WARNING', 'dfp', FALSE, 0 UNION ALL SELECT 'SUCCESS', 'dfp', TRUE, 0""",
     ),
     "source_catalog": query("lines", _files),
     "derive_table_name": query("lines", f"SELECT {FILE} AS ARQUIVO, TABLE_NAME AS TABELA, count(*) AS LINHAS FROM lines GROUP BY ALL"),
@@ -44,7 +58,7 @@ count(DISTINCT CD_CONTA) AS CONTAS FROM lines GROUP BY ALL""",
 CAST(sum(CASE WHEN lv = 'SUCCESS' THEN 0 ELSE event_id % 1000 END) AS BIGINT) AS LINHAS FROM ({_log}) GROUP BY ALL""",
     "pending_files": query(
         "lines",
-        f"""SELECT * FROM ({_files}) WHERE ARQUIVO NOT IN (SELECT 'dfp_cia_aberta_' || y || '.zip' FROM ({_log}) WHERE lv = 'SUCCESS' AND y % 2 = 0)""",
+        f"""SELECT * FROM ({_files}) WHERE ARQUIVO NOT IN (SELECT 'dfp_cia_aberta_' || y || '.zip' FROM ({_log}) WHERE lv = 'SUCCESS')""",
     ),
     "load_events": query(
         "lines",

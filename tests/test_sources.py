@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finledger.schema import LOAD_LOG
-from finledger.sources import catalog, extracts, tables
+from finledger.sources import catalog, extracts, loader, tables
 from finledger.streaming.intake import stage_new_files
 
 LINES = 'A;B;C\n1;x;y\n2;short\n3;a;b;c\n4;"q;q";z\n5;d – e;f\n6;;g\n'
@@ -25,36 +25,84 @@ def test_bad_lines_and_encoding(spark, tmp_path):
     assert rows["5"]["B"] == "d – e"
     assert rows["6"]["B"] is None
     assert rows["1"]["metadata_arquivo_origem"] == "extract.csv"
-    assert extracts.header_of(spark, path) == ["A", "B", "C"]
+    assert extracts.column_names(extracts.file_headers(spark, path).first()["cabecalho"]) == ["A", "B", "C"]
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("A;B\n1;x\n".encode("cp1252"))
+    (tmp_path / "b.csv").write_bytes('"B";"A";"C"\ny – z;2;new\n'.encode("cp1252"))
+    (tmp_path / "c.csv").write_bytes("B\nw\nq;too long\n".encode("cp1252"))
+    rows = {tuple(r) for r in extracts.read_delimited(spark, str(tmp_path), ["A", "B"]).collect()}
+    assert rows == {("1", "x", "a.csv"), ("2", "y – z", "b.csv"), (None, "w", "c.csv")}
+    drift = extracts.header_drift(extracts.file_headers(spark, str(tmp_path)), ["A", "B"]).collect()
+    assert {(r["caminho"][-5:], r["COLUNA"], r["SITUACAO"]) for r in drift} == {("b.csv", "C", "NOVA"), ("c.csv", "A", "AUSENTE")}
+
+
+def archive(path, members, damaged=()):
+    with zipfile.ZipFile(path, "w") as out:
+        for name, text in members.items():
+            out.writestr(name, text.encode("cp1252"))
+    content = path.read_bytes()
+    for name in damaged:
+        content = content.replace(members[name].encode("cp1252"), members[name].encode("cp1252").swapcase())
+    path.write_bytes(content)
 
 
 def test_archives(spark, tmp_path):
-    with zipfile.ZipFile(tmp_path / "good.zip", "w") as archive:
-        archive.writestr("one.csv", LINES.encode("cp1252"))
-        archive.writestr("two.csv", "A;B;C\n9;x;y\n".encode("cp1252"))
-        archive.writestr("notes.txt", "ignored")
-    with zipfile.ZipFile(tmp_path / "empty.zip", "w") as archive:
-        archive.writestr("notes.txt", "ignored")
+    archive(tmp_path / "good.zip", {"one.csv": LINES, "two.csv": "C;B;A;D\ny;x;9;more\n", "notes.txt": "ignored", "none.csv": "A;B;C\n"})
+    archive(tmp_path / "empty.zip", {"notes.txt": "ignored"})
+    archive(tmp_path / "half.zip", {"ok.csv": "A;B;C\n7;ok;ok\n", "hurt.csv": "A;B;C\n8;hurt;hurt\n"}, damaged=["hurt.csv"])
     (tmp_path / "bad.zip").write_bytes(b"not an archive")
     lines = extracts.read_archives(spark, str(tmp_path))
     parsed = extracts.parse_members(lines, ["A", "B", "C"])
     got = sorted((r["metadata_membro"], r["A"], r["B"]) for r in parsed.collect())
     assert got == [
-        ("one.csv", "1", "x"), ("one.csv", "2", "short"), ("one.csv", "4", "q;q"), ("one.csv", "5", "d – e"),
-        ("one.csv", "6", None), ("two.csv", "9", "x"),
+        ("ok.csv", "7", "ok"), ("one.csv", "1", "x"), ("one.csv", "2", "short"), ("one.csv", "4", "q;q"),
+        ("one.csv", "5", "d – e"), ("one.csv", "6", None), ("two.csv", "9", "x"),
+    ]
+    events = {(r["arquivo"], r["membro"], r["nivel"]): r["LINHAS"] for r in extracts.archive_events(lines).collect()}
+    assert events == {
+        ("good.zip", "one.csv", "INFO"): 6, ("good.zip", "two.csv", "INFO"): 1, ("good.zip", "none.csv", "INFO"): 0,
+        ("empty.zip", None, "WARNING"): 0, ("bad.zip", None, "ERROR"): 0, ("half.zip", "ok.csv", "INFO"): 1,
+        ("half.zip", "hurt.csv", "ERROR"): 0,
+    }
+
+
+def test_intake_loop_loads_once(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    target, log = str(tmp_path / "table"), str(tmp_path / "log")
+    archive(folder / "dfp_2010.zip", {"a.csv": "A;B\n1;x\n2;y\n", "b.csv": "B;A;C\nz;3;new\n"})
+    archive(folder / "dfp_2011.zip", {"a.csv": "A;B\n4;ok\n", "b.csv": "A;B\n5;hurt\n"}, damaged=["b.csv"])
+
+    def load():
+        events = loader.load_archives(spark, str(folder), target, log, ["A", "B"], "dfp").collect()
+        return sorted((r["arquivo_origem"], r["nivel_log"], r["tabela_destino"], r["schema_drift_detectado"]) for r in events)
+
+    first = load()
+    assert first == [
+        ("dfp_2010.zip", "INFO", "dfp:a.csv", False), ("dfp_2010.zip", "INFO", "dfp:b.csv", True),
+        ("dfp_2010.zip", "SUCCESS", "dfp", True), ("dfp_2011.zip", "ERROR", "dfp:b.csv", False),
+        ("dfp_2011.zip", "INFO", "dfp:a.csv", False),
     ]
-    events = {(r["arquivo"], r["nivel"]): r["LINHAS"] for r in extracts.archive_events(lines).collect() if r["nivel"] != "INFO"}
-    assert set(events) == {("empty.zip", "WARNING"), ("bad.zip", "ERROR")}
+    assert {e[0] for e in load()} == {"dfp_2011.zip"}
+    assert sorted(r["A"] for r in spark.read.parquet(target).collect()) == ["1", "2", "3", "4"]
+    archive(folder / "dfp_2011.zip", {"a.csv": "A;B\n4;ok\n", "b.csv": "A;B\n5;fine\n"})
+    assert ("dfp_2011.zip", "SUCCESS", "dfp", False) in load()
+    assert load() == []
+    assert sorted(r["A"] for r in spark.read.parquet(target).collect()) == ["1", "2", "3", "4", "5"]
 
 
-def test_large_member_is_streamed_in_batches():
+def test_large_member_is_streamed_in_blocks():
     import pandas as pd
 
     buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
-        archive.writestr("big.csv", "A\n" + "1\n" * 45_000)
+    with zipfile.ZipFile(buffer, "w") as out:
+        out.writestr("big.csv", "A\n" + "12345678\n" * 300_000 + "last")
     frames = list(extracts._expand(iter([pd.DataFrame({"path": ["/x/big.zip"], "content": [buffer.getvalue()]})])))
-    assert [len(f) for f in frames] == [20_000, 20_000, 5_000]
+    assert [len(f) for f in frames] == [1] * len(frames) and len(frames) == 4
+    assert "\n".join(f["bloco"][0] for f in frames) == "12345678\n" * 300_000 + "last"
+    assert max(len(f["bloco"][0]) for f in frames) <= (1 << 20) + 10
 
 
 def test_table_names(spark):
