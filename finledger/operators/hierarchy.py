@@ -23,8 +23,13 @@ def collapse_accounts(df: DataFrame, carry: dict[str, Column] | None = None) ->
     )
 
 
+def deepest_level(lines: DataFrame) -> int:
+    """Segments of the longest account code: one column of the table is read."""
+    return lines.select(F.max(segments("CD_CONTA"))).first()[0] or 0
+
+
 def roll_up(
-    collapsed: DataFrame, rule: str, lowest_child_level: int, deepest_level: int = 5, carry: list[str] | None = None
+    collapsed: DataFrame, rule: str, lowest_child_level: int, deepest: int | None = None, carry: list[str] | None = None
 ) -> DataFrame:
     """Rebuild parents from their children, deepest level first.
 
@@ -32,6 +37,9 @@ def roll_up(
     children's sum whenever it is not zero and differs. Missing parents are inserted under both. Children above
     ``lowest_child_level`` (2 for trees with a root account, 3 for trees without) build no parent.
 
+    Every depth that occurs is rolled up. ``deepest`` is a bound on it that the caller knows from a cheaper table;
+    without one the input is asked.
+
     ``ACAO`` tells what happened: kept, protected (kept though the children disagree), filled, forced or inserted.
 
     The input has one row per account, so a filing is bounded by the chart of accounts. It is shuffled once by
@@ -58,7 +66,7 @@ def roll_up(
         }
     )
     value = F.col("VL_CONTA_TRATADO")
-    for child in range(deepest_level, lowest_child_level - 1, -1):
+    for child in range(deepest_level(collapsed) if deepest is None else deepest, lowest_child_level - 1, -1):
         is_child, is_parent = F.col("_level") == child, F.col("_level") == child - 1
         family = Window.partitionBy(*FILING, "_family")
         calc = F.col("_calc")

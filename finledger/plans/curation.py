@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finledger import schema as S
-from finledger.operators.hierarchy import FILING, collapse_accounts, mark_global_leaves, roll_up
+from finledger.operators.hierarchy import FILING, collapse_accounts, deepest_level, mark_global_leaves, roll_up
 from finledger.operators.naming import account_dictionary, name_accounts
 from finledger.operators.rows import fill_gaps, newest_first, newest_row
 from finledger.session import materialise
@@ -58,9 +58,9 @@ def collapsed_statement(extract: DataFrame) -> DataFrame:
     return collapse_accounts(extract, {"REPORTADO": F.max_by(newest, _order())})
 
 
-def repaired_statement(extract: DataFrame, statement: Statement) -> DataFrame:
+def repaired_statement(extract: DataFrame, statement: Statement, deepest: int | None = None) -> DataFrame:
     collapsed = collapsed_statement(extract)
-    return roll_up(collapsed, statement.rule, statement.lowest_child_level, carry=["REPORTADO"])
+    return roll_up(collapsed, statement.rule, statement.lowest_child_level, deepest, carry=["REPORTADO"])
 
 
 def balance_status(assets: Column, liabilities: Column) -> Column:
@@ -116,33 +116,29 @@ def to_golden_schema(df: DataFrame) -> DataFrame:
 def curate(consolidated: DataFrame, code: str, leaf_scope: str = "table") -> DataFrame:
     """One statement in the golden schema: repaired, named, labelled, flagged and with its arithmetic status.
 
-    Shuffles: one to deduplicate the extract, one to collapse it, one to group it by filing. The dictionary of
-    account codes is written first; its measured size lets the planner broadcast it, or shuffle it if it is large.
-    ``consolidated`` is read twice and should be a stored table.
+    The deduplicated extract is written once: the dictionary of account codes, the metadata and the repair read it. The
+    dictionary is written too; its measured size lets the planner broadcast it, or shuffle it if it is large. Metadata
+    that a filing lacks comes from the company's neighbouring dates.
     """
     statement = STATEMENTS[code]
-    extract = statement_extract(consolidated, statement)
+    extract = materialise(statement_extract(consolidated, statement), f"extract_{code}")
     dictionary = materialise(
         account_dictionary(extract, code, statement.lowest_child_level - 1, statement.root_label), f"accounts_{code}"
     )
-    repaired = repaired_statement(extract, statement)
-    filing = Window.partitionBy(*FILING)
-    meta = [F.col(f"REPORTADO.{c}") for c in ("VERSAO", "DT_FIM_EXERC_TRATADO", "DT_FIM_EXERC_ANO", "CD_CVM", "SETOR_ATIV")]
-    newest = F.max(F.struct(*meta)).over(filing)
-    rows = repaired.withColumns({"STATUS_MATH": status_column(statement), "_meta": newest}).select(
+    repaired = repaired_statement(extract, statement, deepest_level(extract))
+    metadata = filing_metadata(extract).withColumnsRenamed({c: f"_{c}" for c in METADATA})
+    placed = repaired.withColumn("STATUS_MATH", status_column(statement)).join(metadata, FILING, "left")
+    rows = placed.select(
         *FILING,
         "CD_CONTA",
         "CD_CONTA_QTD_DIGITOS",
         "VL_CONTA_TRATADO",
-        "DENOM_CIA",
+        F.coalesce("DENOM_CIA", "_DENOM_CIA").alias("DENOM_CIA"),
         "STATUS_MATH",
         F.col("REPORTADO.DS_CONTA").alias("DS_CONTA_REPORTADA"),
         F.col("REPORTADO.ST_CONTA_FIXA").alias("ST_CONTA_FIXA_REPORTADA"),
-        F.coalesce("_meta.VERSAO", F.lit(1)).alias("VERSAO"),
-        *[
-            F.col(f"_meta.{c}").alias(c)
-            for c in ("DT_FIM_EXERC_TRATADO", "DT_FIM_EXERC_ANO", "CD_CVM", "SETOR_ATIV")
-        ],
+        F.coalesce("_VERSAO", F.lit(1)).alias("VERSAO"),
+        *[F.col(f"_{c}").alias(c) for c in METADATA if c not in ("VERSAO", "DENOM_CIA")],
     )
     rows = name_accounts(rows, dictionary)
     if leaf_scope == "entity":
@@ -160,10 +156,15 @@ def curate(consolidated: DataFrame, code: str, leaf_scope: str = "table") -> Dat
     )
 
 
-def repaired_values(consolidated: DataFrame, code: str) -> DataFrame:
-    """Repaired balances of a statement without names: all that marts and arithmetic audits need."""
+def repaired_values(consolidated: DataFrame, code: str, deepest: int | None = None) -> DataFrame:
+    """Repaired balances of a statement without names: all that marts and arithmetic audits need.
+
+    ``deepest`` spares a look at the codes of ``consolidated`` where it is not a stored table.
+    """
     statement = STATEMENTS[code]
-    repaired = repaired_statement(statement_extract(consolidated, statement), statement)
+    if deepest is None:
+        deepest = deepest_level(consolidated.filter(F.col("GRUPO_DFP_TRATADO") == code))
+    repaired = repaired_statement(statement_extract(consolidated, statement), statement, deepest)
     return repaired.select(
         *FILING,
         "DENOM_CIA",
@@ -174,11 +175,12 @@ def repaired_values(consolidated: DataFrame, code: str) -> DataFrame:
     )
 
 
+METADATA = ["VERSAO", "DENOM_CIA", "CD_CVM", "DT_FIM_EXERC_TRATADO", "DT_FIM_EXERC_ANO", "SETOR_ATIV"]
+
+
 def filing_metadata(consolidated: DataFrame) -> DataFrame:
     """Newest metadata per entity and date, gaps filled from the company's neighbouring dates."""
-    newest = newest_row(consolidated, FILING, newest_first(*LINE_ORDER)).select(
-        *FILING, "VERSAO", "DENOM_CIA", "CD_CVM", "DT_FIM_EXERC_TRATADO", "DT_FIM_EXERC_ANO", "SETOR_ATIV"
-    )
+    newest = newest_row(consolidated, FILING, newest_first(*LINE_ORDER)).select(*FILING, *METADATA)
     return fill_gaps(newest, "CNPJ_CIA", "DT_REFER", ["SETOR_ATIV", "CD_CVM", "DENOM_CIA"])
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from finledger.operators.hierarchy import deepest_level
 from finledger.operators.normalise import current_period, newest_lines, normalise_lines
 from finledger.operators.rows import newest_first, newest_row
 from finledger.plans import ledger
@@ -25,6 +27,27 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_row(ledger.registry(spark, sf_dir), ["CNPJ_CIA"], newest_first("REG_SEQ"))
 
 
+# Source tables that hold a statement.
+STATEMENT_TABLES = {
+    "BP": [ledger.GROUP_TABLE["1"], ledger.GROUP_TABLE["2"]],
+    "DRE": [ledger.GROUP_TABLE["3"]],
+    "DFC": [ledger.GROUP_TABLE["6"]],
+}
+
+
+def statement_lines(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
+    """Newest lines of one statement, for a single reader: nothing is written, and other tables are not read past the
+    scan. The newest filing is chosen per source table, so the choice of tables commutes with it."""
+    raw = raw_lines(spark, sf_dir).filter(F.col("TABLE_NAME").isin(STATEMENT_TABLES[code]))
+    return newest_lines(raw, ledger.registry(spark, sf_dir))
+
+
+def repaired(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
+    """Repaired balances of one statement, from the scan in one pass."""
+    deepest = deepest_level(raw_lines(spark, sf_dir).filter(F.col("TABLE_NAME").isin(STATEMENT_TABLES[code])))
+    return repaired_values(statement_lines(spark, sf_dir, code), code, deepest)
+
+
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored newest lines of eligible companies, laid out by statement so that curation reads only its part."""
     newest = newest_lines(raw_lines(spark, sf_dir), ledger.registry(spark, sf_dir))
@@ -32,7 +55,7 @@ def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated(spark: SparkSession, sf_dir: str, code: str, leaf_scope: str = "table") -> DataFrame:
-    return curate(silver_lines(spark, sf_dir), code, leaf_scope)
+    return curate(statement_lines(spark, sf_dir, code), code, leaf_scope)
 
 
 def curated_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -52,6 +75,5 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The simple mart over the repaired statements."""
-    lines = silver_lines(spark, sf_dir)
-    bp, dre, dfc = (repaired_values(lines, code) for code in ("BP", "DRE", "DFC"))
+    bp, dre, dfc = (repaired(spark, sf_dir, code) for code in ("BP", "DRE", "DFC"))
     return simple_mart(bp, dre, dfc, companies(spark, sf_dir))

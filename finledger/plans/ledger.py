@@ -127,15 +127,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that arrives in fewer splits than there are cores.
-
-    Only such small inputs are shuffled; a table with at least one split per core is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def _chart_frame(spark: SparkSession) -> DataFrame:
     """The chart with the spellings of names and groups that companies use, so that a line only picks one."""
     rows = [
@@ -175,7 +166,7 @@ def _value() -> Column:
 
 def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw statement lines, one per ``lineitem`` row, in the layout of a filing extract."""
-    items = spread_small(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").withColumn(
+    items = read_table(spark, sf_dir, "lineitem").withColumn(
         "ACCT", ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_orderkey")) % len(CHART)).cast("int")
     )
     # The chart is a literal of len(CHART) rows, so broadcasting it is bounded by this file.

@@ -37,8 +37,7 @@ def indicator_mart_simple(spark, sf):
 
 
 def mart_outer_assembly(spark, sf):
-    lines = lake.silver_lines(spark, sf)
-    parts = [curation.repaired_values(lines, code) for code in ("BP", "DRE", "DFC")]
+    parts = [lake.repaired(spark, sf, code) for code in ("BP", "DRE", "DFC")]
     wide = mart.assemble_simple(*parts, lake.companies(spark, sf))
     return report(wide, [c for c in wide.columns if c.startswith("V")])
 
@@ -168,7 +167,7 @@ def latest_period(spark, sf):
 
 
 def _assets(spark, sf):
-    return serving.account_series(curation.repaired_values(lake.silver_lines(spark, sf), "BP"), "1")
+    return serving.account_series(lake.repaired(spark, sf, "BP"), "1")
 
 
 def yoy_growth(spark, sf):

@@ -131,7 +131,7 @@ def distinct_entities(spark, sf):
 
 def consolidate_sources(spark, sf):
     """The consolidated table by source table and statement."""
-    lines = lake.silver_lines(spark, sf)
+    lines = normalise.newest_lines(lake.raw_lines(spark, sf), ledger.registry(spark, sf))
     return report(
         lines.groupBy("_origem_tabela", "GRUPO_DFP_TRATADO").agg(
             F.count("*").alias("N"), F.count_distinct("CNPJ_CIA").alias("EMPRESAS"), F.sum("VL_CONTA_TRATADO").alias("TOTAL")
@@ -161,7 +161,7 @@ def join_inner(spark, sf):
 
 
 def _extract(spark, sf, code):
-    return curation.statement_extract(lake.silver_lines(spark, sf), curation.STATEMENTS[code])
+    return curation.statement_extract(lake.statement_lines(spark, sf, code), curation.STATEMENTS[code])
 
 
 def collapse_duplicates(spark, sf):
@@ -170,12 +170,13 @@ def collapse_duplicates(spark, sf):
 
 
 def _values(spark, sf, code):
-    return curation.repaired_values(lake.silver_lines(spark, sf), code)
+    return lake.repaired(spark, sf, code)
 
 
 def _repaired(spark, sf, code):
     statement = curation.STATEMENTS[code]
-    return curation.repaired_statement(_extract(spark, sf, code), statement)
+    deepest = hierarchy.deepest_level(lake.raw_lines(spark, sf).filter(F.col("TABLE_NAME").isin(lake.STATEMENT_TABLES[code])))
+    return curation.repaired_statement(_extract(spark, sf, code), statement, deepest)
 
 
 def hierarchy_rollup_safe(spark, sf):
@@ -187,11 +188,9 @@ def hierarchy_rollup_force(spark, sf):
 
 
 def rollup_audit(spark, sf):
-    lines = lake.silver_lines(spark, sf)
     out = None
-    for code, statement in curation.STATEMENTS.items():
-        repaired = curation.repaired_statement(curation.statement_extract(lines, statement), statement)
-        row = hierarchy.repair_counts(repaired).select(F.lit(code).alias("DEMONSTRATIVO"), "*")
+    for code in curation.STATEMENTS:
+        row = hierarchy.repair_counts(_repaired(spark, sf, code)).select(F.lit(code).alias("DEMONSTRATIVO"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -330,10 +329,7 @@ def parent_child_summary(spark, sf):
 
 
 def coverage_crosscheck(spark, sf):
-    lines = lake.silver_lines(spark, sf)
-    return audit.coverage_crosscheck(
-        curation.repaired_values(lines, "DFC"), curation.repaired_values(lines, "DRE"), "DFC", "DRE"
-    )
+    return audit.coverage_crosscheck(lake.repaired(spark, sf, "DFC"), lake.repaired(spark, sf, "DRE"), "DFC", "DRE")
 
 
 def cash_identity(spark, sf):
@@ -342,8 +338,7 @@ def cash_identity(spark, sf):
 
 
 def cash_reconciliation(spark, sf):
-    lines = lake.silver_lines(spark, sf)
-    checked = audit.cash_reconciliation(curation.repaired_values(lines, "DFC"), curation.repaired_values(lines, "BP"))
+    checked = audit.cash_reconciliation(lake.repaired(spark, sf, "DFC"), lake.repaired(spark, sf, "BP"))
     return report(checked, ["DFC_6_05_02", "BP_1_01_01", "BP_1_01_02", "BP_TETO"])
 
 

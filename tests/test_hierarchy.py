@@ -131,6 +131,16 @@ def test_income_keeps_one_line(spark):
     assert [(r["CD_CONTA"], r["VL_CONTA_TRATADO"], r["STATUS_MATH"]) for r in got] == [("3.01", 20.0, "NAO_APLICAVEL")]
 
 
+def test_missing_metadata_comes_from_neighbouring_dates(spark):
+    data = [
+        ("A", datetime.date(year, 12, 31), 1, "Cia A", 7 if year == 2019 else None, "BP", DAY, year, "1", 1, "Ativo", Decimal(5), "S",
+         "Energia" if year == 2021 else None, year, 0)
+        for year in (2019, 2020, 2021)
+    ]
+    curated = curation.curate(spark.createDataFrame(data, CONSOLIDATED), "BP").collect()
+    assert {(r["CD_CVM"], r["SETOR_ATIV"]) for r in curated} == {(7, "Energia")}
+
+
 def test_statuses(spark):
     balanced = consolidated(spark, [("1", "a", 10), ("2", "b", 10.5)], "BP")
     assert curation.curate(balanced, "BP").first()["STATUS_MATH"] == "OK"
@@ -139,3 +149,12 @@ def test_statuses(spark):
     assert row["STATUS_MATH"] == "OK" and row["DS_NIVEL_1"] == "DEMONSTRAÇÃO DO FLUXO DE CAIXA"
     untotalled = consolidated(spark, [("6.01", "a", 10)], "DFC")
     assert curation.curate(untotalled, "DFC").first()["STATUS_MATH"] == "SEM_TOTALIZADOR"
+
+
+@pytest.mark.parametrize("rule, lowest", [("safe", 2), ("force", 2)])
+def test_every_depth_is_rolled_up(spark, rule, lowest):
+    rows = [("1.01.02.03.04.05", 70.0), ("1.01.02.03.04.05.06.07", 0.0), ("1", 0.0)]
+    out = hierarchy.roll_up(hierarchy.collapse_accounts(ledger(spark, rows)), rule, lowest)
+    values = {r["CD_CONTA"]: float(r["VL_CONTA_TRATADO"]) for r in out.collect()}
+    for code in ("1", "1.01", "1.01.02", "1.01.02.03", "1.01.02.03.04", "1.01.02.03.04.05"):
+        assert values[code] == 70.0

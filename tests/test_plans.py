@@ -9,9 +9,8 @@ from pyspark.sql.functions import lit
 
 import __spark_entry__ as contract
 from finledger.operators import audit, hierarchy
-from finledger.plans import curation, lake, ledger, mart
+from finledger.plans import curation, lake, mart
 
-INTAKE_PYTHON = {"scan_archive", "archive_events"}
 CHECKED = [
     "scan_projection", "eligible_entities", "filter_funnel", "scale_normalise", "dedup_latest", "latest_filing", "is_leaf",
     "join_inner", "level_names_join", "curated_bp", "curated_dre", "parent_child_check", "cash_reconciliation",
@@ -61,7 +60,7 @@ def test_repair_shuffles_once_after_the_collapse(spark, data_dir):
     extract = curation.statement_extract(lines, curation.STATEMENTS["BP"])
     collapsed = curation.collapsed_statement(extract)
     before = plan_of(collapsed).split("\n(1)")[0].count("Exchange")
-    after = plan_of(hierarchy.roll_up(collapsed, "safe", 2, carry=["REPORTADO"])).split("\n(1)")[0]
+    after = plan_of(hierarchy.roll_up(collapsed, "safe", 2, 5, carry=["REPORTADO"])).split("\n(1)")[0]
     assert after.count("Exchange") == before + 1
     assert "Join" not in after
 
@@ -72,8 +71,8 @@ def test_mart_shuffles_lines_once_per_step(spark, data_dir):
     assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 7
 
 
-def test_only_small_inputs_are_spread(spark, data_dir):
-    items = ledger.read_table(spark, data_dir, "lineitem")
-    assert ledger.spread_small(items, "l_orderkey").rdd.getNumPartitions() >= items.rdd.getNumPartitions()
-    wide = items.repartition(64)
-    assert ledger.spread_small(wide, "l_orderkey") is wide
+def test_one_statement_is_cut_out_before_anything_is_written(spark, data_dir):
+    lines = lake.statement_lines(spark, data_dir, "DRE")
+    assert "silver_lines" not in plan_of(lines)
+    whole = lake.silver_lines(spark, data_dir).filter("GRUPO_DFP_TRATADO = 'DRE'").select(*lines.columns)
+    assert lines.count() == whole.count() > 0 and lines.exceptAll(whole).count() == 0
