@@ -13,6 +13,7 @@ other rows than the lexicon.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -224,8 +225,28 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(strength - self.cut + at_cut, -500, 500)))
 
 
-def learn_lexicon(sample: DataFrame, most: int, least_docs: int, least_z: float) -> dict[str, float]:
-    """Words and word beginnings with significant log odds for toxic documents, weighted 0.3 to 2.
+def signature(text: str) -> int:
+    """The smallest hash of three words in a row: the same for copies and, mostly, for near copies."""
+    words = text.lower().split()
+    if len(words) < 3:
+        return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    return min(zlib.crc32(" ".join(words[i : i + 3]).encode("utf-8", "surrogatepass")) for i in range(len(words) - 2))
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """One text for each signature and label: in copies every word would look like a mark of their label."""
+
+    @F.pandas_udf("long")
+    def signed(texts: pd.Series) -> pd.Series:
+        return texts.map(signature)
+
+    return sample.groupBy(signed("text").alias("_s"), "label").agg(F.min("text").alias("text")).select("text", "label")
+
+
+def learn_lexicon(
+    sample: DataFrame, most: int, least_docs: int, least_z: float, least_odds: float
+) -> dict[str, float]:
+    """Words and word beginnings with significant log odds for toxic documents, weighted 0.2 to 2.
 
     A beginning is left out where one longer entry stands in the same documents: it is no family of words then.
     Document counts are added up in the tasks and then by Spark; of the significant entries the ``most`` clearest are
@@ -247,13 +268,14 @@ def learn_lexicon(sample: DataFrame, most: int, least_docs: int, least_z: float)
     toxic, clean = (sizes.t or 0) + 1.0, (sizes.c or 0) + 1.0
     counts = sample.mapInPandas(counted, "entry string, t long, c long").groupBy("entry")
     counts = counts.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") >= least_docs)
-    odds = F.log((F.col("t") + 0.5) / toxic) - F.log((F.col("c") + 0.5) / clean)
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    clear = counts.withColumn("odds", odds).withColumn("z", z).filter((F.col("z") >= least_z) & (F.col("odds") >= 1.5))
+    odds = F.log((F.col("t") + 0.5) / toxic) - F.log((F.col("c") + 2) / clean)
+    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 2))
+    clear = counts.withColumn("odds", odds).withColumn("z", z)
+    clear = clear.filter((F.col("z") >= least_z) & (F.col("odds") >= least_odds))
     rows = clear.orderBy(F.desc("z"), "entry").limit(most).collect()
     longer = {(r.entry[:size], r.t, r.c) for r in rows for size in PREFIXES if len(r.entry.rstrip("*")) > size}
     return {
-        r.entry: float(min(2.0, max(0.3, r.odds / 3)))
+        r.entry: float(min(2.0, 0.2 + (r.odds - least_odds) / 2))
         for r in rows
         if not (r.entry.endswith("*") and (r.entry[:-1], r.t, r.c) in longer)
     }
@@ -299,13 +321,14 @@ def fit_toxicity(
     sample_rows: int = 20_000,
     most_entries: int = 5_000,
     least_docs: int = 4,
-    least_z: float = 4.0,
+    least_z: float = 3.5,
+    least_odds: float = 2.0,
 ) -> ToxicityModel:
-    """Fit on at most ``sample_rows`` labelled training rows: two thirds for the lexicon, one third for the curve, by a
+    """Fit on at most ``sample_rows`` labelled training rows, copies counted once: two thirds for the lexicon, one third for the curve, by a
     hash of the text. Where that third holds one label only, the curve is fitted on all rows of the sample."""
-    sample = materialise(labelled_sample(docs, labels, label, training, sample_rows), "toxic")
+    sample = materialise(without_copies(labelled_sample(docs, labels, label, training, sample_rows)), "toxic")
     part = F.pmod(F.xxhash64("text"), F.lit(3))
-    lexicon = learn_lexicon(sample.filter(part != 0), most_entries, least_docs, least_z)
+    lexicon = learn_lexicon(sample.filter(part != 0), most_entries, least_docs, least_z, least_odds)
     scored = sample.select(_features("text", lexicon).alias("f"), "label", (part == 0).alias("own"))
     rows = scored.filter("own").collect()
     if len({r["label"] for r in rows}) < 2:

@@ -57,8 +57,14 @@ def test_held_out(spark):
     assert sum(toxic) / len(toxic) > 0.85 and sum(clean) / len(clean) < 0.01
 
 
+def test_copies_count_once(spark):
+    rows = [("alpha beta gamma delta", 1)] * 5 + [("alpha beta gamma delta", 0), ("", 0), ("", 0), ("b", 0)]
+    kept = t.without_copies(spark.createDataFrame(rows, "text string, label int")).collect()
+    assert sorted(map(tuple, kept)) == [("", 0), ("alpha beta gamma delta", 0), ("alpha beta gamma delta", 1), ("b", 0)]
+
+
 def test_odd_rows(spark):
-    rows = [(i, "you are an idiot and a moron. go away" if i % 2 else "a calm day at the sea. fine", i % 2) for i in range(60)]
+    rows = [(i, f"you are an idiot and a moron. go away {i}" if i % 2 else f"a calm day at the sea. fine {i}", i % 2) for i in range(60)]
     docs = [(i, text, 1) for i, text, _ in rows] + [(1, rows[1][1], 1), (None, None, 2), (99, "", 3), (98, ". \n!", 4)]
     docs = spark.createDataFrame(docs, "doc_id long, text string, label int")
     labels = [(i, y) for i, _, y in rows] + [(1, 1), (None, 1), (99, None)]
