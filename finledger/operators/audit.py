@@ -149,7 +149,13 @@ def cash_reconciliation(dfc: DataFrame, bp: DataFrame, tolerance: float = 1000.0
         .when(F.col("DFC_RECONSTRUIDO"), "ERRO_RECONSTRUIDO")
         .otherwise("VERIFICAR")
     )
-    return closing.join(cash, FILING, "left").withColumns({"BP_TETO": ceiling, "DIAGNOSTICO": diagnosis})
+    # What is looked at first: above the ceiling though rebuilt, above it though reported, the rest; then by the gap.
+    above = F.coalesce(saldo > ceiling + tolerance, F.lit(False))
+    priority = F.when(above & F.col("DFC_RECONSTRUIDO"), 0).when(above, 1).otherwise(2)
+    judged = closing.join(cash, FILING, "left").withColumns(
+        {"BP_TETO": ceiling, "DIAGNOSTICO": diagnosis, "PRIORIDADE": priority}
+    )
+    return judged.orderBy("PRIORIDADE", F.abs(saldo - F.coalesce(c1, F.lit(0))).desc(), *FILING)
 
 
 def waterfall_check(dre: DataFrame, tolerance: float = 1.0, extra: list[Column] | None = None) -> DataFrame:

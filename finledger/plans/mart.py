@@ -194,11 +194,14 @@ def mart_from_curated(tables: dict[str, DataFrame]) -> DataFrame:
 # --- simple rules -----------------------------------------------------------------------------
 
 
-def _one_per_account(lines: DataFrame, accounts: list[str]) -> DataFrame:
+def prefer_reported(lines: DataFrame) -> DataFrame:
     """Reported line before a rebuilt one, per company, date and account."""
-    wanted = lines.filter(F.col("CD_CONTA").isin(accounts))
     order = [F.col("FLAG_RECONSTRUCAO").asc(), F.col("VL_CONTA_TRATADO").desc()]
-    return newest_row(wanted, ["CNPJ_CIA", "DT_REFER", "CD_CONTA"], order)
+    return newest_row(lines, ["CNPJ_CIA", "DT_REFER", "CD_CONTA"], order)
+
+
+def _one_per_account(lines: DataFrame, accounts: list[str]) -> DataFrame:
+    return prefer_reported(lines.filter(F.col("CD_CONTA").isin(accounts)))
 
 
 def drop_outliers(value: Column) -> Column:

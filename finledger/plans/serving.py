@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from finledger import schema as S
 from finledger.functions.expressions import digits
+from finledger.functions.literals import literal_frame
 from finledger.operators.distribution import group_positions
 from finledger.operators.hierarchy import FILING
 from finledger.operators.rows import newest_row
@@ -109,6 +111,23 @@ def overview_history(mart: DataFrame) -> DataFrame:
     )
 
 
+def overview_snapshot(stored_mart: DataFrame, year: int | None = None) -> DataFrame:
+    """The overview of one year, the last one where none is given."""
+    shown = overview_history(stored_mart)
+    if year is None:
+        year = stored_mart.agg(F.max("ANO_FISCAL")).first()[0]
+    return shown.filter(F.col("ANO_FISCAL") == year)
+
+
+def priority_history(long: DataFrame) -> DataFrame:
+    """The priority indicators of every company over all years, with their group and place on the list."""
+    rows = [(i, group, code) for i, (group, code, _) in enumerate(S.PRIORITY_INDICATORS)]
+    spec = literal_frame(long.sparkSession, rows, "ORDEM int, GRUPO string, COD_INDICADOR string")
+    return long.join(F.broadcast(spec), "COD_INDICADOR").select(
+        "CNPJ_CIA", "ANO_FISCAL", "ORDEM", "GRUPO", "COD_INDICADOR", "VL_INDICADOR"
+    )
+
+
 def score_history(scores: DataFrame) -> DataFrame:
     """Score per company and year with its change against the company's previous year."""
     years = Window.partitionBy("CNPJ_CIA").orderBy("ANO_FISCAL")

@@ -265,7 +265,8 @@ FROM (SELECT CNPJ_CIA, DENOM_CIA, DT_REFER, coalesce(sum(VL_CONTA_TRATADO) FILTE
         f"""SELECT CNPJ_CIA, DENOM_CIA, DT_REFER, {m('s', 'DFC_6_05_02')}, r AS DFC_RECONSTRUIDO, {m('c1', 'BP_1_01_01')}, {m('c2', 'BP_1_01_02')},
 {m('c1 + c2', 'BP_TETO')},
 CASE WHEN c1 IS NULL THEN 'SEM_BP' WHEN abs(s - c1) <= 1000 THEN 'IDENTICO' WHEN s > c1 AND s <= c1 + c2 + 1000 THEN 'EQUIVALENTES'
-     WHEN s < c1 - 1000 THEN 'CAIXA_RESTRITO' WHEN r THEN 'ERRO_RECONSTRUIDO' ELSE 'MANTIDO_PARA_VENDA' END AS DIAGNOSTICO
+     WHEN s < c1 - 1000 THEN 'CAIXA_RESTRITO' WHEN r THEN 'ERRO_RECONSTRUIDO' ELSE 'MANTIDO_PARA_VENDA' END AS DIAGNOSTICO,
+CAST(CASE WHEN r AND s > c1 + c2 + 1000 THEN 0 WHEN s > c1 + c2 + 1000 THEN 1 ELSE 2 END AS INTEGER) AS PRIORIDADE
 FROM (SELECT CNPJ_CIA, DENOM_CIA, DT_REFER, sum(VL_CONTA_TRATADO) AS s, bool_or(FLAG_RECONSTRUCAO) AS r FROM n1_dfc WHERE CD_CONTA = '6.05.02' GROUP BY ALL)
 LEFT JOIN (SELECT CNPJ_CIA, DT_REFER, coalesce(sum(VL_CONTA_TRATADO) FILTER (WHERE CD_CONTA = '1.01.01'), 0) AS c1,
   coalesce(sum(VL_CONTA_TRATADO) FILTER (WHERE CD_CONTA = '1.01.02'), 0) AS c2 FROM n1_bp WHERE CD_CONTA IN ('1.01.01', '1.01.02') GROUP BY ALL)
