@@ -143,7 +143,9 @@ def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     lines = sheets.select("k", "h", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
     lines = lines.filter(F.col("line.words") >= least_words).select("k", "h", F.col("line.hashes").alias("line"))
     held = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
-    links = lines.join(held.select("line", "first"), "line").filter(place > F.col("first"))
+    # Written, so that the join below has plain shuffles on both sides and a line that many hold is split.
+    held = materialise(held.select("line", "first"), "held")
+    links = lines.join(held, "line").filter(place > F.col("first"))
     links = links.select("k", "h", F.col("first.k").alias("fk"), F.col("first.h").alias("fh")).distinct()
     one = sheets.dropDuplicates(["k", "h"])
     later = links.join(one, ["k", "h"])
