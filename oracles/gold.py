@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from finledger.schema import (
+from oracles.fixed import (
     BENCHMARK_INDICATORS,
     LINEAR_NOTES,
     MART_ACCOUNTS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import oracles.gold  # noqa: F401
 import oracles.silver  # noqa: F401
-from finledger.schema import BENCHMARK_INDICATORS, MART_ACCOUNTS, PRIORITY_INDICATORS
+from oracles.fixed import BENCHMARK_INDICATORS, MART_ACCOUNTS, PRIORITY_INDICATORS
 from oracles.base import money, query, rounded
 from oracles.gold import DIMENSIONS, MART_MONEY, MART_RATIOS, NOTE_INPUTS
 

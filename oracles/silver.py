@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from finledger.schema import CASH_FLOW_ROOT_LABEL, FIXED_NAMES, REBUILT_PREFIX
+from oracles.fixed import CASH_FLOW_ROOT_LABEL, FIXED_NAMES, REBUILT_PREFIX
 from oracles.base import cte, text
 
 LEVEL = "len(string_split({}, '.'))"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import oracles.silver  # noqa: F401  (registers the expressions)
-from finledger.schema import VARIABLES
+from oracles.fixed import VARIABLES
 from oracles.base import NON_EXCLUDED, money, query, text
 
 V = "CAST(CAST(VL_CONTA_TRATADO AS DECIMAL(28,2)) AS DOUBLE) AS VL_CONTA_TRATADO"

@@ -50,3 +50,11 @@ def test_agrees_with_duckdb(spark, duck, data_dir, name):
     theirs = table_of([d[0] for d in cursor.description], cursor.fetchall())
     assert mine[0] == theirs[0]
     assert mine[1] == theirs[1]
+
+
+def test_oracles_type_their_own_fixed_values():
+    folder = os.path.join(ROOT, "oracles")
+    for name in os.listdir(folder):
+        if name.endswith(".py"):
+            with open(os.path.join(folder, name), encoding="utf-8") as handle:
+                assert "finledger.schema" not in handle.read(), name
