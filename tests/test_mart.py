@@ -91,12 +91,11 @@ def test_unpivot_keeps_every_value(spark, data_dir):
 def test_peer_ranks_with_ties(spark):
     rows = [(c, c, "S", 2020, s, "x") for c, s in (("a", 2.0), ("b", 2.0), ("c", 1.0))] + [("n", "n", None, 2020, 5.0, "x")]
     df = spark.createDataFrame(rows, "CNPJ_CIA string, DENOM_CIA string, SETOR string, ANO_FISCAL int, SCORE_IPRF double, FAIXA_IPRF string")
-    for bound in (100, None):
-        got = {r["CNPJ_CIA"]: r for r in benchmark.score_peers(df, bound).collect()}
-        assert [got[c]["RANK_IPRF_SETOR_ANO"] for c in "abc"] == [1, 1, 2]
-        assert [got[c]["PERCENTIL_IPRF_SETOR_ANO"] for c in "abc"] == [50.0, 50.0, 0.0]
-        assert got["a"]["MEDIANA_IPRF_SETOR_ANO"] == 2.0
-        assert got["n"]["MEDIANA_IPRF_SETOR_ANO"] is None and got["n"]["RANK_IPRF_SETOR_ANO"] == 1
+    got = {r["CNPJ_CIA"]: r for r in benchmark.score_peers(df).collect()}
+    assert [got[c]["RANK_IPRF_SETOR_ANO"] for c in "abc"] == [1, 1, 2]
+    assert [got[c]["PERCENTIL_IPRF_SETOR_ANO"] for c in "abc"] == [50.0, 50.0, 0.0]
+    assert got["a"]["MEDIANA_IPRF_SETOR_ANO"] == 2.0
+    assert got["n"]["MEDIANA_IPRF_SETOR_ANO"] is None and got["n"]["RANK_IPRF_SETOR_ANO"] == 1
 
 
 def lines(spark, rows):
