@@ -138,7 +138,9 @@ def _sheets(docs: DataFrame, key: str, text: str) -> DataFrame:
 def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 5) -> DataFrame:
     """For each document that loses lines: ``k``, ``h``, the line numbers ``gone`` (from 0) and ``partners``, the keys
     of the earlier documents."""
-    sheets = materialise(_sheets(docs, key, text), "sheets")
+    # Documents once each, written: what joins them below is a plain shuffle on both sides, which a first holder that
+    # many documents follow can be split in.
+    sheets = materialise(_sheets(docs, key, text).dropDuplicates(["k", "h"]), "sheets")
     place = F.struct("k", "h")
     lines = sheets.select("k", "h", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
     lines = lines.filter(F.col("line.words") >= least_words).select("k", "h", F.col("line.hashes").alias("line"))
@@ -147,9 +149,8 @@ def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     held = materialise(held.select("line", "first"), "held")
     links = lines.join(held, "line").filter(place > F.col("first"))
     links = links.select("k", "h", F.col("first.k").alias("fk"), F.col("first.h").alias("fh")).distinct()
-    one = sheets.dropDuplicates(["k", "h"])
-    later = links.join(one, ["k", "h"])
-    firsts = one.select(F.col("k").alias("fk"), F.col("h").alias("fh"), F.col("hashes").alias("first"))
+    later = links.join(sheets, ["k", "h"])
+    firsts = sheets.select(F.col("k").alias("fk"), F.col("h").alias("fh"), F.col("hashes").alias("first"))
     pairs = later.join(firsts, ["fk", "fh"])
 
     @F.pandas_udf("array<int>")
