@@ -48,6 +48,15 @@ def repaired(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
     return repaired_values(statement_lines(spark, sf_dir, code), code, deepest)
 
 
+def repaired_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired balances of all statements with their statement, without names: what counts of accounts need."""
+    out = None
+    for code in STATEMENT_TABLES:
+        part = repaired(spark, sf_dir, code).withColumn("GRUPO_DFP_TRATADO", F.lit(code))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored newest lines of eligible companies, laid out by statement so that curation reads only its part."""
     newest = newest_lines(raw_lines(spark, sf_dir), ledger.registry(spark, sf_dir))

@@ -24,11 +24,11 @@ def indicator_brief(spark, sf):
 
 
 def variable_contract(spark, sf):
-    return brief.variable_contract(_stacked(spark, sf))
+    return brief.variable_contract(lake.repaired_accounts(spark, sf))
 
 
 def indicator_formulas(spark, sf):
-    return brief.indicator_formulas(_stacked(spark, sf))
+    return brief.indicator_formulas(lake.repaired_accounts(spark, sf))
 
 
 def overview_snapshot(spark, sf):

@@ -134,7 +134,8 @@ def alert_frequency(spark, sf):
 
 
 def executive_summary(spark, sf):
-    summary = screening.executive_summary(_annual(_prepared(spark, sf, stored=True)))
+    annual = materialise(_annual(_prepared(spark, sf)), "annual")
+    summary = screening.executive_summary(annual)
     return report(summary, [], ["VALOR"])
 
 

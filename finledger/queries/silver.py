@@ -381,7 +381,7 @@ def variable_catalogue(spark, sf):
 
 
 def variable_coverage(spark, sf):
-    return audit.variable_coverage(_stacked(spark, sf))
+    return audit.variable_coverage(materialise(lake.repaired_accounts(spark, sf), "accounts"))
 
 
 def variable_range(spark, sf):
