@@ -89,6 +89,8 @@ def near_edges(prints: DataFrame, max_bits: int = 3, block: int = 1024) -> DataF
     places = F.array(*[F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes")) for i, m in enumerate(masks)])
     postings = prints.select("fp", F.explode(places).alias("p")).select("fp", "p.list", "p.bytes")
     sizes = postings.groupBy("list", "bytes").agg(F.count("*").alias("entries")).filter("entries > 1")
+    # Written, like the minima below: the join then has plain shuffles on both sides, and a long list is split.
+    sizes = materialise(sizes, "sizes")
     met = postings.join(sizes, ["list", "bytes"])
     blocks = F.ceil(F.col("entries") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
@@ -110,15 +112,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component of edges (u, v) with u > v.
 
     Large stars and small stars by turns, until nothing changes. Every round is written to the shared folder. The
-    minima are combined before the shuffle and joined back, so a hub of any size is never one task's group.
+    minima are combined before the shuffle, written and joined back, so a hub of any size is never one task's group.
     """
     edges = materialise(edges.select("u", "v"), "edges")
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialise(least, "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialise(large, "large")
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         hung = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialise(least.select("u", F.col("m").alias("v")).union(hung).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
