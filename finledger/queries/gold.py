@@ -11,7 +11,7 @@ from finledger.operators.normalise import current_period, normalise_lines
 from finledger.plans import benchmark, lake, mart, screening, serving
 from finledger.queries.report import report
 from finledger.session import materialise, work_path
-from finledger.sources.tables import written_rows
+from finledger.sources.tables import export_csv, publish_view, written_rows
 
 KEYS = ["CNPJ_CIA", "ANO_FISCAL"]
 BALANCES = [c for c in S.MART_ACCOUNTS if not c.startswith("LPA")] + ["DEP_AMORT"]
@@ -204,6 +204,22 @@ def write_readback_count(spark, sf):
     return written_rows(lake.mart(spark, sf), work_path(spark, "mart"), ["ANO_FISCAL"])
 
 
+def csv_export(spark, sf):
+    """The mart's balances exported as text files with a header, read back, counted per year."""
+    path = work_path(spark, "export")
+    export_csv(lake.mart(spark, sf).select("CNPJ_CIA", "ANO_FISCAL", "AT", "LUCRO_LIQ"), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy(F.col("ANO_FISCAL").cast("int").alias("ANO_FISCAL")).agg(
+        F.count("*").alias("LINHAS"), F.count("AT").alias("COM_ATIVO"), F.count_distinct("CNPJ_CIA").alias("EMPRESAS")
+    )
+
+
+def published_view(spark, sf):
+    """The mart published under a name and read with SQL."""
+    publish_view(lake.mart(spark, sf), "finledger_mart")
+    return spark.sql("SELECT ANO_FISCAL, count(*) AS LINHAS, count(ROE) AS COM_ROE FROM finledger_mart GROUP BY ANO_FISCAL")
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -211,6 +227,6 @@ QUERIES = {
         median_overall, median_sector, median_sector_distributed, benchmark_long, filtered_agg, risk_notes,
         risk_dimensions, risk_score, score_peer_rank, score_peer_rank_distributed, score_history, score_peers,
         indicator_ranking, indicator_snapshot, entity_vs_sector, indicator_long_status, mart_quality,
-        indicator_fill_rate, overview_history, write_readback_count,
+        indicator_fill_rate, overview_history, write_readback_count, csv_export, published_view,
     ]
 } | {name: _ratios(*columns) for name, columns in RATIO_GROUPS.items()}

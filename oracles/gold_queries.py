@@ -138,6 +138,11 @@ CASE WHEN round(p * 100.0 / t, 2) >= 95 THEN 'OK' WHEN round(p * 100.0 / t, 2) >
         "mart",
         f"SELECT CNPJ_CIA, ANO_FISCAL, {money('AT', 'PL', 'REC_LIQ', 'EBITDA', 'LUCRO_LIQ', 'DIVIDA_LIQUIDA')}, EFEITO_TESOURA FROM mart",
     ),
+    "csv_export": query(
+        "mart",
+        "SELECT ANO_FISCAL, count(*) AS LINHAS, count(AT) AS COM_ATIVO, count(DISTINCT CNPJ_CIA) AS EMPRESAS FROM mart GROUP BY ANO_FISCAL",
+    ),
+    "published_view": query("mart", "SELECT ANO_FISCAL, count(*) AS LINHAS, count(ROE) AS COM_ROE FROM mart GROUP BY ANO_FISCAL"),
     "write_readback_count": query(
         "mart", "SELECT ANO_FISCAL, count(*) AS ESPERADO, count(*) AS GRAVADO, TRUE AS CONFERE FROM mart GROUP BY ALL"
     ),

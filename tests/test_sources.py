@@ -154,6 +154,13 @@ def test_write_and_read_back(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM numbers").first()[0] == 100
 
 
+def test_a_table_is_rebuilt_under_its_name(spark):
+    for n in (3, 5):
+        tables.rebuild_table(spark.range(n), "finledger_rebuilt")
+        assert spark.table("finledger_rebuilt").count() == n
+    spark.sql("DROP TABLE finledger_rebuilt")
+
+
 def test_log(spark, tmp_path):
     staged = extracts.stage_as_text(spark.range(5), F.lit("dfp_cia_aberta_2011.zip"))
     tables.append_log(tables.load_events(staged, "dfp"), str(tmp_path / "log"))
