@@ -50,9 +50,9 @@ def repaired(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
 
 def repaired_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repaired balances of all statements with their statement, without names: what counts of accounts need."""
-    out = None
+    lines, out = silver_lines(spark, sf_dir), None
     for code in STATEMENT_TABLES:
-        part = repaired(spark, sf_dir, code).withColumn("GRUPO_DFP_TRATADO", F.lit(code))
+        part = repaired_values(lines, code).withColumn("GRUPO_DFP_TRATADO", F.lit(code))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -84,5 +84,6 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The simple mart over the repaired statements."""
-    bp, dre, dfc = (repaired(spark, sf_dir, code) for code in ("BP", "DRE", "DFC"))
+    lines = silver_lines(spark, sf_dir)
+    bp, dre, dfc = (repaired_values(lines, code) for code in ("BP", "DRE", "DFC"))
     return simple_mart(bp, dre, dfc, companies(spark, sf_dir))

@@ -127,6 +127,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scanned(df: DataFrame, *keys: str) -> DataFrame:
+    """A source table in ``spark.finledger.scanPartitions`` parts, where a session sets that.
+
+    For deployments whose files have fewer row groups than there are cores; unset, the scan stays as the files are.
+    """
+    parts = df.sparkSession.conf.get("spark.finledger.scanPartitions", None)
+    return df.repartition(int(parts), *keys) if parts else df
+
+
 def _chart_frame(spark: SparkSession) -> DataFrame:
     """The chart with the spellings of names and groups that companies use, so that a line only picks one."""
     rows = [
@@ -166,7 +175,7 @@ def _value() -> Column:
 
 def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw statement lines, one per ``lineitem`` row, in the layout of a filing extract."""
-    items = read_table(spark, sf_dir, "lineitem").withColumn(
+    items = scanned(read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").withColumn(
         "ACCT", ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_orderkey")) % len(CHART)).cast("int")
     )
     # The chart is a literal of len(CHART) rows, so broadcasting it is bounded by this file.

@@ -147,8 +147,8 @@ def score_peer_rank(spark, sf):
 
 
 def score_peer_rank_distributed(spark, sf):
-    """The same ranks from scores that are not stored first."""
-    scored = benchmark.risk_scores(lake.mart(spark, sf)).select(*benchmark.LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
+    """The same ranks over the stored mart."""
+    scored = benchmark.risk_scores(lake.stored_mart(spark, sf)).select(*benchmark.LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
     return report(benchmark.score_peers(scored), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
