@@ -82,3 +82,43 @@ def test_a_line_that_every_document_holds(spark):
     )
     texts = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
     assert texts[0].startswith("this very") and all("common" not in texts[i] for i in range(1, 300))
+
+
+def test_shared_runs_of_short_lines_against_all_runs():
+    """Every line of every run of enough words that both hold goes, empty lines apart."""
+    rng = random.Random(6)
+    for _ in range(500):
+        later, first = ([rng.randrange(6) for _ in range(rng.randrange(14))] for _ in range(2))
+        words = [0, 1, 2, 2, 4, 5]
+        later_words, first_words = [words[x] for x in later], [words[x] for x in first]
+        gone = set(linededup.shared_blocks(later, later_words, first, 5, first_words))
+        own, there = [i for i, x in enumerate(later) if x], [x for x in first if x]
+        runs = {tuple(there[a:b]) for a in range(len(there)) for b in range(a + 1, len(there) + 1)}
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                run = own[a:b]
+                if sum(later_words[i] for i in run) >= 5 and tuple(later[i] for i in run) in runs:
+                    assert set(run) <= gone
+        assert all(later[i] in first for i in gone)
+
+
+def test_blocks_without_a_long_line(spark):
+    verse = "\n".join(f"four {a} words {b}" for a in "abcde" for b in "fghijk")
+    table = "\n".join(f"{a}\t{a}{a}" for a in "pqrst")
+    chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed"
+    thai = "\u0e27\u0e31\u0e19\u0e19\u0e35\u0e49\u0e2d\u0e32\u0e01\u0e32\u0e28\u0e14\u0e35"
+    code = "x9" * 20
+    shared = [verse, table, chinese, thai, code, "one\n\ntwo\n \t\nthree four\n\nfive"]
+    rows = []
+    for n, block in enumerate(shared):
+        rows.append((10 * n, f"first {n}\n{block}\nend {n}"))
+        rows.append((10 * n + 1, f"later {n}\n{block}\nstop {n}"))
+        rows.append((10 * n + 2, f"first {n}\n{block}\nend {n}"))
+    rows += [(100, "a few"), (101, "a few"), (102, "a few\nmore"), (103, "one\ntwo"), (104, "\t"), (105, "\t")]
+    out = {r.doc_id: r for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), report=True).collect()}
+    texts = dict(rows)
+    for n in range(len(shared)):
+        assert out[10 * n].text == texts[10 * n]
+        assert out[10 * n + 1].text == f"later {n}\nstop {n}" and out[10 * n + 1].partners == [10 * n]
+        assert out[10 * n + 2].text == ""
+    assert [out[k].text for k in range(100, 106)] == ["a few", "", "a few\nmore", "one\ntwo", "\t", "\t"]
