@@ -56,7 +56,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), part_at_base=True)
     counts = [secrets.count_of("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return found.select(
         "doc_id",

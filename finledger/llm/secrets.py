@@ -3,8 +3,12 @@
 Base kinds are found by regular expressions; their places follow from the lengths of the pieces between the matches.
 Candidate strings are runs of at least ``window`` letters, digits and ``+/_=-``. Over each candidate a window slides one
 character a step: the counts of the characters that enter and leave change by one, and with them the sum of
-``c * log2(c)`` that the entropy follows from. The limit depends on the character class of the candidate. Allow-listed
-candidates are left out: words without digits, identifiers in UUID form, placeholders, runs of an alphabet.
+``c * log2(c)`` that the entropy follows from. The limit depends on the character class of the candidate.
+
+Allow-listed words that are a whole name in a path or an assignment part a candidate, and so do base spans on request;
+what is left on either side is a candidate of its own. A candidate that the allow-list matches whole is left out: one without digits, an
+identifier in UUID form. A placeholder or a run of an alphabet inside suppresses a high stretch only where less than two
+windows of it are something else, and only when it is written in one case: longer text meets these by chance.
 """
 
 from __future__ import annotations
@@ -122,24 +126,83 @@ def _slide(candidate: Column, window: int) -> Column:
     return F.aggregate(places, start, move, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
-def entropy_spans(text: Column, window: int = WINDOW, allowed: str = ALLOWED) -> Column:
-    """Spans of high entropy in candidate strings that the allow-list does not suppress."""
+def _words(run: Column, allowed: str) -> Column:
+    """Matches of the allow-list: of the whole run, or of words in lower or upper case or with one capital in front."""
+    return F.filter(
+        _matches(run, allowed),
+        lambda x: (F.length(x["hit"]) == F.length(run)) | x["hit"].isin(F.lower(x["hit"]), F.upper(x["hit"]), F.initcap(x["hit"])),
+    )
+
+
+def _apart(hit: Column, base: Column, run: str, allowed: str) -> Column:
+    """Candidates in a run: what stands between base spans and allowed words that are names of their own (``/word/``)."""
+    whole = hit["hit"]
+
+    def is_name(word: Column) -> Column:
+        before = F.when(word["start"] > 0, F.substring(whole, word["start"], 1)).otherwise("/")
+        return before.isin("/", "=") & F.substring(whole, word["end"] + 1, 2).rlike("^s?(?:[/=]|$)")
+
+    inside = F.filter(base, lambda b: (b["start"] < hit["end"]) & (hit["start"] < b["end"]))
+    cuts = F.concat(
+        F.transform(
+            inside,
+            lambda b: F.struct(
+                F.greatest(b["start"] - hit["start"], F.lit(0)).alias("start"),
+                (F.least(b["end"], hit["end"]) - hit["start"]).alias("end"),
+            ),
+        ),
+        F.transform(
+            F.filter(_words(whole, allowed), is_name), lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"))
+        ),
+    )
+
+    def blank(text: Column, cut: Column) -> Column:
+        size = cut["end"] - cut["start"]
+        return F.overlay(text, F.repeat(F.lit(" "), size), cut["start"] + 1, size)
+
+    return F.transform(
+        _matches(F.aggregate(cuts, whole, blank), run),
+        lambda x: F.struct((hit["start"] + x["start"]).alias("start"), (hit["start"] + x["end"]).alias("end"), x["hit"].alias("hit")),
+    )
+
+
+def entropy_spans(text: Column, base: Column, window: int = WINDOW, allowed: str = ALLOWED) -> Column:
+    """Spans of high entropy in candidate strings, apart from ``base`` spans, that the allow-list does not suppress.
+
+    A span goes from the first to the last high window of a candidate.
+    """
     run = f"{RUN}{{{window},}}+"
-    hits = F.filter(_matches(text, run), lambda x: ~x["hit"].rlike(allowed))
+    hits = F.flatten(F.transform(_matches(text, run), lambda x: _apart(x, base, run, allowed)))
     candidates = F.transform(
         hits,
         lambda x: F.struct(
             x["start"].alias("start"),
             F.transform(F.split(x["hit"], ""), F.ascii).alias("codes"),
             limit_of(x["hit"]).alias("least"),
+            _words(x["hit"], allowed).alias("words"),
         ),
     )
+    candidates = F.filter(
+        candidates, lambda c: ~F.exists(c["words"], lambda w: w["end"] - w["start"] == F.size(c["codes"]))
+    )
     walked = F.transform(
-        candidates, lambda c: F.struct(c["start"].alias("start"), _slide(c, window).alias("high"))
+        candidates, lambda c: F.struct(c["start"].alias("start"), c["words"].alias("words"), _slide(c, window).alias("high"))
     )
+
+    def real(w: Column) -> Column:
+        """Holds no word, or two windows besides its words."""
+        high = w["high"]
+        words = F.filter(w["words"], lambda x: (x["start"] < high["last"]) & (high["first"] < x["end"]))
+        inside = F.aggregate(
+            words,
+            F.lit(0),
+            lambda total, x: total + F.least(x["end"], high["last"]) - F.greatest(x["start"], high["first"]),
+        )
+        return high["first"].isNotNull() & ((inside == 0) | (high["last"] - high["first"] - inside >= 2 * window))
+
     number = F.lit(KINDS.index("entropy")).alias("kind")
     found = F.transform(
-        F.filter(walked, lambda w: w["high"]["first"].isNotNull()),
+        F.filter(walked, real),
         lambda w: F.struct(
             (w["start"] + w["high"]["first"]).alias("start"), number, (w["start"] + w["high"]["last"]).alias("end")
         ),
@@ -156,16 +219,26 @@ def listed(spans: Column) -> Column:
     return F.array_join(text, ",")
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, allowed: str = ALLOWED) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    allowed: str = ALLOWED,
+    part_at_base: bool = False,
+) -> DataFrame:
     """Key, ``base`` and ``added`` spans (start, kind number, end; code points, end exclusive) of every row.
 
-    Added spans do not overlap base ones. Null and empty texts have no spans; repeated rows stay; other columns are left
+    Added spans do not overlap base ones: with ``part_at_base`` these part a candidate, as the query has it; without it a
+    span of a candidate that overlaps one is left out whole. Null and empty texts have no spans; repeated rows stay; other columns are left
     behind.
     """
     whole = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("whole"))
-    found = whole.select(
-        key, base_spans(F.col("whole")).alias("base"), entropy_spans(F.col("whole"), window, allowed).alias("high")
-    )
+    found = whole.select(key, "whole", base_spans(F.col("whole")).alias("base"))
+    if part_at_base:
+        return found.select(key, "base", entropy_spans(F.col("whole"), F.col("base"), window, allowed).alias("added"))
+    none = F.array().cast(f"array<{SPAN}>")
+    found = found.select(key, "base", entropy_spans(F.col("whole"), none, window, allowed).alias("high"))
     apart = F.filter(
         "high", lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"]))
     )

@@ -92,3 +92,28 @@ def test_odd_rows(spark):
     rows = secrets.scan(docs).collect()
     assert len(rows) == 3 and [len(r.base) for r in rows] == [1, 0, 0]
     assert secrets.scan(docs.limit(0)).collect() == []
+
+
+def test_allowed_words_and_base_spans_take_no_secret_along(spark):
+    key, long = "4eC39HqLyjWDarjtT1zdp7dc", "wJ8rTq1nFZ5mK7dLg2bPxRf9CYh4vA0sE6uXo3Nc"
+    commit = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    cases = {
+        f"docs/examples/keys/sk_live_{key}": [key],
+        f"docs/example/{key}": [key],
+        f"example={key}": [key],
+        f"{long[:20]}xxxX{long[20:]}": [long[:20], long[20:]],
+        f"{long}00000000{long}": [long],
+        f"{commit}/{long}": [commit, long],
+        f"{long}/{commit}/{key}": [long, commit, key],
+        f"EXAMPLE{key[:21]}": [],
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY": [],
+        f"objects/{commit}/some/longer/path/without/digits": [commit],
+        "550e8400-e29b-41d4-a716-446655440000": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in secrets.scan(docs, part_at_base=True).collect():
+        text, want = list(cases.items())[r.doc_id]
+        spans = [(s.start, s.end) for s in r.base + r.added]
+        assert all(any(a <= text.index(w) and text.index(w) + len(w) <= b for a, b in spans) for w in want), (text, spans)
+        assert bool(spans) == bool(want), (text, spans)
+        assert not any(b.start < s.end and s.start < b.end for b in r.base for s in r.added)
