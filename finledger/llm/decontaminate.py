@@ -6,6 +6,10 @@ one in the fewest documents becomes a seed, so whatever shares ``window + n - 1`
 seed, also for items that are copied everywhere. A second pass joins the seeds to the passages, inside the tasks against
 the block's bounded seed table, and aligns each item with the words around its seeds. The score of a leak is the local
 alignment score (match 2, mismatch -1, gap -1) as a share of that of a perfect copy; edits and paraphrases lower it.
+
+What is met by chance is a number of words, which hardly depends on the item: half the alignment score, the matched words
+less half a word for each edit, must be at least ``CHANCE`` as well, or nearly the whole of a shorter item. Of a long item
+a part is enough: ``PART`` words under penalties that end an alignment where it is no longer a copy.
 """
 
 from __future__ import annotations
@@ -25,6 +29,10 @@ from finledger.session import materialise
 WORD = re.compile(r"\w+")
 BITS = 21
 MATCH, MISMATCH, GAP = 2, -1, -1
+# Matched words beyond chance; the share of an item with fewer words that counts as all of it.
+CHANCE, WHOLE = 10, 0.9
+# Matched words of a part of a long item, and what a mismatch or a gap costs there.
+PART, STRICT = 20, -3
 CHARS = 1 << 22
 CELLS = 1 << 18
 LEAKS = "array<struct<item_id: long, score: double, char_start: int, char_end: int>>"
@@ -129,7 +137,9 @@ def document_frequency(docs: DataFrame, block: Block, text: str) -> np.ndarray:
     return frequency
 
 
-def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def align(
+    items: list[np.ndarray], windows: list[np.ndarray], mismatch: int = MISMATCH, gap: int = GAP
+) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman score of each item in its window of words, and where the best alignment ends.
 
     Many pairs at once, one row of the tables a step; a run of gaps along a row is a running maximum. Pairs of similar
@@ -149,11 +159,11 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
             rows[line, : len(items[k])] = items[k]
             columns[line, : len(windows[k])] = windows[k]
         table = np.zeros((len(own), width + 1), dtype=np.int32)
-        ramp = np.arange(width, dtype=np.int32) * -GAP
+        ramp = np.arange(width, dtype=np.int32) * -gap
         best, at = np.zeros(len(own), dtype=np.int32), np.zeros(len(own), dtype=np.int64)
         for r in range(height):
-            step = np.where(columns == rows[:, r, None], np.int32(MATCH), np.int32(MISMATCH))
-            now = np.maximum(np.maximum(table[:, :-1] + step, table[:, 1:] + GAP), 0)
+            step = np.where(columns == rows[:, r, None], np.int32(MATCH), np.int32(mismatch))
+            now = np.maximum(np.maximum(table[:, :-1] + step, table[:, 1:] + gap), 0)
             now = np.maximum.accumulate(now + ramp, axis=1) - ramp
             table[:, 1:] = now
             top = now.argmax(axis=1)
@@ -165,6 +175,18 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
     return scores, ends
 
 
+def leaking(items: list[np.ndarray], windows: list[np.ndarray], scores: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs are a leak: ``least`` of the item and more words than chance gives, all of a short item, or a part."""
+    sizes, matched = np.array([len(i) for i in items]), scores / MATCH
+    good = matched >= np.minimum(np.maximum(least * sizes, CHANCE), np.maximum(WHOLE, least) * sizes)
+    # The strict score is never above the other one.
+    rest = np.flatnonzero(~good & (matched >= PART)).tolist()
+    if rest:
+        strict, _ = align([items[k] for k in rest], [windows[k] for k in rest], STRICT, STRICT)
+        good[rest] = strict / MATCH >= PART
+    return good
+
+
 def leaks_of(texts: list[str], block: Block, least: float) -> list[list[tuple[int | None, float, int, int]]]:
     """For each text the items it holds: (item, score, first and last character), by item."""
     out: list[list[tuple[int | None, float, int, int]]] = [[] for _ in texts]
@@ -197,7 +219,7 @@ def leaks_of(texts: list[str], block: Block, least: float) -> list[list[tuple[in
             continue
         scores, ends = align(items, windows)
         shares = scores / (MATCH * np.array([len(i) for i in items]))
-        good = [k for k in np.flatnonzero(shares >= least).tolist()]
+        good = np.flatnonzero(leaking(items, windows, scores, least)).tolist()
         if not good:
             continue
         _, back = align([items[k][::-1] for k in good], [windows[k][: ends[k]][::-1] for k in good])
@@ -250,7 +272,8 @@ def with_leaks(
     least: float = 0.4,
     block_chars: int = 1 << 20,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``out``: the benchmark items whose alignment reaches ``least``.
+    """All rows and columns of ``docs`` with ``out``: the benchmark items whose alignment reaches ``least``, in words enough
+    not to be chance, and those of which a long part is copied, whose score can be any.
 
     An item of fewer than ``n`` words has no n-gram and marks nothing; equal items are all reported; null texts count as
     empty, null item ids are reported as null. Between blocks of the benchmark the rows are written.

@@ -102,3 +102,37 @@ def test_query_against_plain_search(spark, data_dir):
     assert whole and whole <= set(rows) and all(rows[p] == 1.0 for p in whole)
     for (k, i), score in rows.items():
         assert abs(plain_alignment(items[i], texts[k]) / (2 * len(items[i])) - score) < 1e-9
+
+
+def test_parts_of_long_items_short_items_and_chance(spark):
+    rng = random.Random(12)
+    long, middle, short = words(rng, 500), words(rng, 15), "what is the capital"
+    part = long[200:350]
+    texts = {
+        1: words(rng, 100) + part + words(rng, 100),
+        2: words(rng, 100) + edited(rng, part, 0.1) + words(rng, 2000),
+        3: words(rng, 50) + long[:12] + words(rng, 50),
+        4: words(rng, 20) + "this is what is the matter".split() + words(rng, 20),
+        5: words(rng, 20) + "what is the capital of".split() + words(rng, 20),
+        6: words(rng, 20) + middle[3:9] + words(rng, 20),
+        7: words(rng, 20) + middle[:4] + ["edit"] + middle[5:] + words(rng, 20),
+        8: words(rng, 20) + long[40:70] + words(rng, 20),
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    items = [(1, " ".join(long)), (2, " ".join(middle)), (3, short)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in d.leaked(docs, benchmark).collect()}
+    assert set(found) == {(1, 1), (2, 1), (5, 3), (7, 2), (8, 1)}
+    text, r = " ".join(texts[1]), found[1, 1]
+    assert " ".join(part) in text[r.char_start : r.char_end] and r.score < 0.4
+
+
+def test_large_clean_text_is_no_leak():
+    """Texts and items of words as frequent as in a language meet by chance only."""
+    rng = random.Random(3)
+    weights = [1 / (rank + 3) for rank in range(5000)]
+    items = [rng.choices(range(5000), weights, k=n) for n in (8, 15, 18, 30, 59, 500) for _ in range(10)]
+    text = " ".join(f"s{w}" for w in rng.choices(range(5000), weights, k=300000))
+    block = d.Block.of([(k, " ".join(f"s{w}" for w in x)) for k, x in enumerate(items)], 3)
+    block.choose_seeds(np.ones(len(block.grams)), 1)
+    assert d.leaks_of([text], block, 0.4) == [[]]
