@@ -1,14 +1,15 @@
 """Nearest neighbours by inner product: a vantage-point tree in each shard.
 
 Largest inner products become smallest distances by one more component, ``sqrt(M^2 - |x|^2)`` with M the largest norm of
-the table (0 for queries). Rows are dealt into shards of bounded size; a shard's tree halves its rows again and again by
+the shard (0 for queries). Rows are dealt by bands of norm into shards of bounded size, so that a row of very large norm
+is with its like; shard and queries are scaled by powers of two, which change no product. A shard's tree halves its rows again and again by
 their distance from a vantage point. Queries are searched in blocks, all queries of a block at once: a node's nearer
 half comes first, and the other half is entered only by queries for which
 
     |d(query, vantage) - boundary|  <=  factor * distance of the k-th nearest so far .
 
-By the triangle inequality nothing is lost at factor 1; a smaller factor prunes more. Found rows are scored on the
-original vectors in double precision.
+By the triangle inequality nothing is lost at factor 1; a smaller factor prunes more. Distances only prune: rows are
+chosen by their products with the query, and scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from pyspark.sql.window import Window
 from finledger.session import materialise
 
 LEAF = 128
+# Powers of two of the largest component in a band of norms.
+BAND = 10
+# What rounding adds to distances near 0, for norms about 1.
+SLACK = 1e-7
 
 
 @dataclass
@@ -70,14 +75,18 @@ class Tree:
 
 
 class Search:
-    """The ``k`` nearest rows of one tree for a block of queries."""
+    """The ``k`` nearest rows of one tree for a block of queries.
 
-    def __init__(self, tree: Tree, points: np.ndarray, ids: np.ndarray, k: int, factor: float):
-        self.tree, self.points, self.ids, self.k, self.factor = tree, points, ids, k, factor
+    With ``lifted``, the norm that all points have, rows are chosen by the product alone: what they are compared by is
+    the squared distance less ``|q|^2 + lifted^2``, which would round small products away.
+    """
+
+    def __init__(self, tree: Tree, points: np.ndarray, ids: np.ndarray, k: int, factor: float, lifted: float | None = None):
+        self.tree, self.points, self.ids, self.k, self.factor, self.lifted = tree, points, ids, k, factor, lifted
         self.squares = (points**2).sum(axis=1)
 
     def run(self, queries: np.ndarray, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers (-1: none) and squared distances, nearest first; a query's own id is no candidate."""
+        """Row numbers (-1: none) and what they are compared by, nearest first; a query's own id is no candidate."""
         n = len(queries)
         self.queries, self.query_ids = queries, query_ids
         self.query_squares = (queries**2).sum(axis=1)
@@ -88,8 +97,16 @@ class Search:
 
     def _distances(self, own: np.ndarray, rows: np.ndarray) -> np.ndarray:
         product = self.queries[own] @ self.points[rows].T
+        if self.lifted is not None:
+            return -2 * product
         return np.maximum(self.query_squares[own][:, None] + self.squares[rows] - 2 * product, 0)
 
+    def _root(self, own: np.ndarray, compared: np.ndarray) -> np.ndarray:
+        """The distance."""
+        if self.lifted is not None:
+            compared = compared + self.query_squares[own] + self.lifted**2
+        return np.sqrt(np.maximum(compared, 0))
+
     def _visit(self, node: int, own: np.ndarray) -> None:
         if not len(own):
             return
@@ -106,12 +123,12 @@ class Search:
             self.best[own] = np.take_along_axis(merged, order, axis=1)
             self.rows[own] = np.take_along_axis(names, order, axis=1)
             return
-        distance = np.sqrt(self._distances(own, np.array([tree.vantage[node]]))[:, 0])
+        distance = self._root(own, self._distances(own, np.array([tree.vantage[node]]))[:, 0])
         gap = distance - tree.boundary[node]
         near = gap < 0
         self._visit(tree.inner[node], own[near])
         self._visit(tree.outer[node], own[~near])
-        reach = np.abs(gap) <= self.factor * np.sqrt(self.best[own, -1]) + 1e-9
+        reach = np.abs(gap) <= self.factor * self._root(own, self.best[own, -1]) + SLACK
         self._visit(tree.outer[node], own[near & reach])
         self._visit(tree.inner[node], own[~near & reach])
 
@@ -130,6 +147,10 @@ def _matrix(packed: bytes, rows: int) -> np.ndarray:
     return np.frombuffer(packed, dtype="<f8").reshape(rows, -1)
 
 
+def _scaled(rows: np.ndarray, exponent: np.ndarray | int) -> np.ndarray:
+    return np.ldexp(rows, -np.asarray(exponent, dtype=np.int64))
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -144,7 +165,7 @@ def nearest(
 
     Every usable row is indexed; vectors of other lengths than the most frequent one are not comparable and take no
     part. Repeated rows of one key and vector count once; a key with several vectors takes part with the smallest. Rows
-    without a key take no part. Ties go to the smaller key. Each task holds one shard and one block of queries, both of
+    without a key take no part. Ties go to the smaller key; scores beyond the range of doubles are infinite and tie. Each task holds one shard and one block of queries, both of
     bounded size, however many rows are equal.
     """
     clean = vectors.filter(F.col(key).isNotNull() & usable(F.col(vector)) & (F.size(vector) > 0))
@@ -157,10 +178,17 @@ def nearest(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias(key), F.lit(0.0).alias("score")
         )
     clean = clean.filter(F.size("v") == widths.w)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    totals = clean.agg(F.max(norm).alias("norm"), F.count("*").alias("rows"), F.count_if("q").alias("queries")).first()
-    shards, blocks = -(-totals.rows // shard_rows), max(1, -(-totals.queries // block_rows))
-    longest, dims = float(totals.norm), widths.w
+    largest = F.array_max(F.transform("v", F.abs))
+    clean = clean.withColumn("band", F.floor(F.log2(largest) / BAND).cast("int"))
+    # A few hundred bands at most, by the range of doubles.
+    bands = clean.groupBy("band").agg(F.count("*").alias("rows"), F.count_if("q").alias("queries")).orderBy("band").collect()
+    blocks = max(1, -(-sum(b.queries for b in bands) // block_rows))
+    dims, start, ranges = widths.w, 0, []
+    for band in bands:
+        shards = -(-band.rows // shard_rows)
+        ranges += [F.lit(band.band), F.struct(F.lit(start).alias("start"), F.lit(shards).alias("shards"))]
+        start += shards
+    place = F.element_at(F.create_map(*ranges), F.col("band"))
 
     def index(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id")
@@ -172,7 +200,8 @@ def nearest(
         packed = index(group.rename(columns={"block": "shard"}))
         return packed.rename(columns={"shard": "block", "ids": "query_ids", "vectors": "queries"})
 
-    dealt = clean.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = clean.withColumn("place", place)
+    dealt = dealt.withColumn("shard", (F.col("place.start") + F.pmod(F.xxhash64("id"), F.col("place.shards"))).cast("int"))
     trees = dealt.select("id", "v", "shard").groupBy("shard").applyInPandas(index, "shard int, ids binary, vectors binary")
     asked = clean.filter("q").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
     asked = asked.select("id", "v", "block").groupBy("block")
@@ -183,14 +212,20 @@ def nearest(
         row = group.iloc[0]
         ids, query_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
         own, asked = _matrix(row["vectors"], len(ids)), _matrix(row["queries"], len(query_ids))
-        points = np.column_stack([own, np.sqrt(np.maximum(0, longest**2 - (own**2).sum(axis=1)))])
+        exponent, exponents = np.frexp(np.abs(own).max())[1], np.frexp(np.abs(asked).max(axis=1))[1]
+        own, asked = _scaled(own, exponent), _scaled(asked, exponents[:, None])
+        squares = (own**2).sum(axis=1)
+        longest = float(np.sqrt(squares.max()))
+        points = np.column_stack([own, np.sqrt(np.maximum(0, longest**2 - squares))])
         block = np.column_stack([asked, np.zeros(len(asked))])
-        rows, _ = Search(Tree.build(points), points, ids, k, factor).run(block, query_ids)
+        rows, _ = Search(Tree.build(points), points, ids, k, factor, longest).run(block, query_ids)
         q, _ = found = np.nonzero(rows >= 0)
         picks = rows[found]
         score = np.zeros(len(picks))
         for c in range(dims):
             score += asked[q, c] * own[picks, c]
+        with np.errstate(over="ignore"):
+            score = np.ldexp(score, exponents[q].astype(np.int64) + exponent)
         return pd.DataFrame({"query_id": query_ids[q], "id": ids[picks], "score": score})
 
     met = trees.join(asked, "block").groupBy("shard", "block")

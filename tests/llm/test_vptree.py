@@ -82,3 +82,16 @@ def test_odd_rows(spark):
     assert vptree.nearest(frame.filter("vec_id = 5"), asked).collect() == []
     assert vptree.nearest(frame.filter("vec_id = 20"), asked).collect() == []
     assert vptree.nearest(frame.filter("vec_id in (1, 2)"), asked).collect() == []
+
+
+@pytest.mark.parametrize("norm", [1e9, 1e200, 1e-9])
+def test_one_row_of_another_norm_changes_no_other(spark, norm):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(1500, 16))
+    points /= np.sqrt((points**2).sum(axis=1))[:, None]
+    points[7] *= norm
+    points[40] *= norm**0.4
+    ids = list(range(1500))
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in zip(ids, points, strict=True)], "vec_id long, embedding array<double>")
+    found = rows_of(vptree.nearest(frame, F.col("vec_id") % 20 == 0, k=20, factor=1.0, shard_rows=400))
+    assert found == plain_nearest(ids, points, range(0, 1500, 20), 20)
