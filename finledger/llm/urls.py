@@ -26,6 +26,8 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Letters of the longest label that DNS allows: no word of a host is longer.
+LABEL = 63
 SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -117,7 +119,7 @@ def judge(
     key: str = "page_id",
     url: str = "url",
     html: str = "html",
-    longest: int = 15,
+    longest: int = LABEL,
 ) -> DataFrame:
     """Every row's key, host, path, rule, verdict and the naive Bayes ``score`` (log odds of block; over 0 blocks).
 

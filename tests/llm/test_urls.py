@@ -1,3 +1,4 @@
+import inspect
 import itertools
 import math
 import re
@@ -100,3 +101,13 @@ def test_odd_rows(spark):
     assert urls.judge(pages.limit(0)).collect() == []
     blocked = spark.createDataFrame([(1, "http://a.net/es/", "x", 0.0), (2, "http://b.org", "y", 0.0)], schema)
     assert {r.verdict for r in urls.judge(blocked).collect()} == {"block"}
+
+
+def test_long_words_of_a_host_stay_whole(spark):
+    word = "internationalization"
+    html = f"<p>{word} {word} of the guide in nation and inter</p>"
+    pages = spark.createDataFrame([(1, f"http://{word}guide.org/", html)], "page_id long, url string, html string")
+    hosts = spark.createDataFrame([(f"{word}guide.org",)], "host string")
+    limit = inspect.signature(urls.judge).parameters["longest"].default
+    counts = urls.word_counts(pages, "html", limit)
+    assert urls.segmented(hosts, counts, limit).first().words[:2] == [word, "guide"]
