@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, decontaminate, linededup, preference, quality, secrets, simhash, toxicity, urls, vptree
+from finledger.llm import bpe, decontaminate, linededup, phrases, preference, quality, secrets, simhash, toxicity, urls, vptree
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -71,6 +71,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_collocations(phrases.collocations(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality_ranking": op1_quality_ranking,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -82,4 +86,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
 }
