@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, decontaminate, linededup, phrases, preference, quality, secrets, simhash, toxicity, urls, vptree
+from finledger.llm import bpe, decontaminate, linededup, phrases, preference, quality, repair, secrets, simhash, toxicity, urls, vptree
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.top_collocations(phrases.collocations(table(spark, sf_dir, "documents")))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = repair.damaged(conversations)
+    return repair.report(conversations, rows, repair.edited(rows))
+
+
 QUERIES = {
     "op1_quality_ranking": op1_quality_ranking,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -87,4 +93,5 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
     "op11_collocations": op11_collocations,
+    "op13_turn_repair": op13_turn_repair,
 }
