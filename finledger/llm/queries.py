@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.llm import bpe, decontaminate, linededup, phrases, preference, quality, repair, secrets, simhash, toxicity, urls, vptree
+from finledger.llm import bpe, decontaminate, linededup, packing, phrases, preference, quality, repair, secrets, simhash, toxicity, urls, vptree
 from finledger.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+PACKING_FILES = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.QualityModel:
@@ -75,6 +76,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.top_collocations(phrases.collocations(table(spark, sf_dir, "documents")))
 
 
+def op12_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [public_tokenizers.path(f) for f in PACKING_FILES]
+    pieces = packing.packed_sequences(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     rows = repair.damaged(conversations)
@@ -93,5 +101,6 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
     "op11_collocations": op11_collocations,
+    "op12_retrieval_packing": op12_retrieval_packing,
     "op13_turn_repair": op13_turn_repair,
 }
