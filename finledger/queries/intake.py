@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from finledger import schema as S
 from finledger.plans import lake, ledger
 from finledger.queries.report import report
-from finledger.session import materialise, work_path
-from finledger.sources import catalog, extracts, loader, tables
+from finledger.session import work_path
+from finledger.sources import catalog, extracts, loader, members, ranges, tables
 from finledger.streaming.intake import stage_new_files
 
 RAW = S.RAW_COLUMNS
@@ -91,27 +91,26 @@ def _write_archives(spark: SparkSession, sf: str, folder: str, damaged: bool) ->
     _text_lines(spark, sf).mapInPandas(write, "archives int").agg(F.sum("archives")).collect()
 
 
-def _expanded(spark, sf) -> DataFrame:
+def _planned(spark, sf) -> DataFrame:
     folder = work_path(spark, "archives")
     _write_archives(spark, sf, folder, damaged=False)
-    return materialise(extracts.read_archives(spark, folder), "blocks")
+    return members.planned(ranges.listed(spark, folder, "*.zip"))
 
 
 def scan_archive(spark, sf):
     """All lines packed into archives of several members, read back and parsed by name, summed per member and company."""
-    return _staged_totals(extracts.parse_members(_expanded(spark, sf), RAW), "metadata_membro", "CNPJ_CIA")
+    return _staged_totals(members.rows_of(members.staged(_planned(spark, sf), RAW)), "metadata_membro", "CNPJ_CIA")
 
 
 def archive_events(spark, sf):
     """Rows per archive member, as the load log reports them."""
-    events = extracts.archive_events(_expanded(spark, sf))
+    events = members.events_of(members.staged(_planned(spark, sf), RAW))
     return events.groupBy("membro", "nivel").agg(F.sum("LINHAS").alias("LINHAS"))
 
 
 def header_drift(spark, sf):
     """Members whose header adds or lacks columns."""
-    headers = _expanded(spark, sf).select("membro", "cabecalho").distinct()
-    return extracts.header_drift(headers, RAW).select("membro", "COLUNA", "SITUACAO")
+    return members.drift(_planned(spark, sf), RAW, RAW).select("membro", "COLUNA", "SITUACAO").distinct()
 
 
 def intake_loop(spark, sf):
@@ -127,7 +126,7 @@ def intake_loop(spark, sf):
     logged = tables.read_log(spark, log).groupBy("nivel_log", "tabela_destino").agg(
         F.bool_or("schema_drift_detectado").alias("schema_drift_detectado"), F.sum(lines).alias("LINHAS")
     )
-    loaded = spark.read.parquet(target).groupBy(F.concat(F.lit("dfp:"), "metadata_membro").alias("tabela_destino")).agg(
+    loaded = tables.read_table(spark, target).groupBy(F.concat(F.lit("dfp:"), "metadata_membro").alias("tabela_destino")).agg(
         F.count("*").alias("LINHAS")
     )
     return logged.unionByName(

@@ -75,4 +75,9 @@ def materialise(df: DataFrame, name: str = "stage", by: str | None = None) -> Da
     path = work_path(df.sparkSession, name)
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
+
+
+def quoted(name: str) -> str:
+    """A column's name as it is, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SEPARATOR = ";"
+from finledger.sources import ranges
+from finledger.sources.ranges import SEPARATOR, column_names
+
 # Characters that windows-1252 has at bytes 0x80-0x9F, where latin-1 has control characters.
 _CODES = [i for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
 _CONTROLS = "".join(chr(i) for i in _CODES)
@@ -42,12 +44,6 @@ def _from_latin1(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.translate(c, _CONTROLS, _WINDOWS) for c in strings})
 
 
-def column_names(header: str) -> list[str]:
-    """Column names of a header line; an empty or repeated name is replaced by its position."""
-    names = [c.strip().strip('"') for c in header.lstrip("\ufeff").rstrip("\r\n").split(SEPARATOR)]
-    return [c if c and c not in names[:i] else f"_c{i}" for i, c in enumerate(names)]
-
-
 def by_name(df: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
     """``columns`` of a table whose header has ``names``; those it lacks are NULL."""
     there = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in columns]
@@ -55,7 +51,7 @@ def by_name(df: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
 
 
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(caminho, cabecalho): the first line of every file. Only the first split of a file is looked at."""
+    """(caminho, cabecalho): the first line of every file, for stores that only Spark reads: all splits are scanned."""
     lines = spark.read.option("encoding", "ISO-8859-1").text(path).select(
         F.col("_metadata.file_path").alias("caminho"),
         F.col("_metadata.file_block_start").alias("inicio"),
@@ -70,10 +66,18 @@ def read_delimited(spark: SparkSession, path: str | list[str], columns: list[str
     """Semicolon-separated windows-1252 files as text columns, with the source file name.
 
     Columns are bound by the name in each file's header, in whatever order; unknown ones are left to ``header_drift``,
-    missing ones are NULL. Files of one header are read together: the few headers and the list of files, which the
-    driver lists in any case, decide that. The reader decodes latin-1, which every Spark accepts, and the few characters
-    that differ are mapped back.
+    missing ones are NULL. Ranges of the files are read in tasks, each byte once; files in a store that only Spark's
+    readers reach are read by those.
     """
+    if ranges.reachable(spark, path):
+        return ranges.read_ranges(spark, path, columns)
+    return read_by_header(spark, path, columns)
+
+
+def read_by_header(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
+    """The same rows by Spark's reader. Files of one header are read together: the few headers and the list of files,
+    which the driver lists in any case, decide that. The reader decodes latin-1, which every Spark accepts, and the few
+    characters that differ are mapped back."""
     grouped = file_headers(spark, path).groupBy("cabecalho").agg(F.collect_list("caminho").alias("c")).collect()
     out = None
     for row in grouped:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,12 +68,36 @@ def load_events(staged: DataFrame, table: str, level: str = "INFO") -> DataFrame
     ).to(T.StructType(LOAD_LOG.fields))
 
 
-def append_log(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+def append_log(events: DataFrame, path: str, load: str | None = None) -> None:
+    """Add the events of a load to the log; a load that is repeated under its name replaces its own events."""
+    name = load or uuid.uuid4().hex
+    events.coalesce(1).write.mode("overwrite").parquet(f"{path}/carga={name}")
+
+
+def read_log(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """All events, or those of other loads than ``without``; a log that does not exist yet has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], LOAD_LOG)
+    kept = spark.read.schema(T.StructType([*LOAD_LOG.fields, T.StructField("carga", T.StringType())])).parquet(path)
+    kept = kept if without is None else kept.filter(F.col("carga") != without)
+    return kept.select(*LOAD_LOG.names)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOAD_LOG).parquet(path)
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table whose loads may have added columns, with all of them; None where nothing was written yet."""
+    if not exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no load has had a row so far
+            return None
+        raise
 
 
 def log_counts(log: DataFrame) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finledger.sources import loader
+
 
 def stage_new_files(
     spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str, glob: str = "*", fmt: str = "parquet"
@@ -35,3 +39,31 @@ def stage_new_files(
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return sum(added)
+
+
+def load_new_archives(
+    spark: SparkSession, folder: str, target: str, log_path: str, columns: list[str], table: str, checkpoint: str
+) -> int:
+    """Load the archives that arrived in ``folder`` since the last call, member by member; returns the number of events.
+
+    The stream's offsets are the files seen; their contents are not read by it. Rows and log rows of a batch belong
+    together: a batch that broke off at any point is repeated under its name, replaces the rows of its archives and its
+    own log rows, and skips what another loader has finished meanwhile, so loaders may take turns. An archive that is
+    delivered again under its name is left to ``loader.load_archives``.
+    """
+    files = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary")
+    arrived = files.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "length")
+    events = []
+
+    def load(batch: DataFrame, number: int) -> None:
+        name = f"{stream_name(checkpoint)}-{number}"
+        events.append(loader.load_files(batch, target, log_path, columns, table, name).count())
+
+    query = arrived.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(events)
+
+
+def stream_name(checkpoint: str) -> str:
+    """A name for the loads of a stream: that of its checkpoint, which alone tells its batches apart."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
