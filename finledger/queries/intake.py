@@ -110,7 +110,7 @@ def archive_events(spark, sf):
 
 def header_drift(spark, sf):
     """Members whose header adds or lacks columns."""
-    return members.drift(_planned(spark, sf), RAW, RAW).select("membro", "COLUNA", "SITUACAO").distinct()
+    return members.drift(members.with_headers(_planned(spark, sf)), RAW, RAW).select("membro", "COLUNA", "SITUACAO").distinct()
 
 
 def intake_loop(spark, sf):

@@ -62,16 +62,14 @@ def _staged(files: DataFrame, known: list[str], columns: list[str]) -> tuple[Dat
     spark = files.sparkSession
     one = files.select("path").first()
     if one is None or ranges.reachable(spark, one["path"]):
-        plan = members.planned(files)
-        staged = members.staged(plan, known)
+        staged = members.staged(members.planned(files), known)
     else:
         content = spark.read.format("binaryFile").load([r["path"] for r in files.select("path").collect()])
         blocks = materialise(extracts.expand_archives(content), "blocks")
         names = F.transform(F.split("cabecalho", ranges.SEPARATOR), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-        plan = blocks.filter("nivel = 'INFO'").select("arquivo", "membro", names.alias("colunas")).distinct()
-        staged = members.from_blocks(blocks, known, _names(members.drift(plan, known, columns)))
-    sound = members.events_of(staged).filter("nivel = 'INFO'").select("arquivo", "membro")
-    drift = members.drift(plan, known, columns).join(sound, ["arquivo", "membro"], "left_semi")
+        headers = blocks.filter("nivel = 'INFO'").select("arquivo", "membro", names.alias("colunas")).distinct()
+        staged = members.from_blocks(blocks, known, _names(members.drift(headers, known, columns)))
+    drift = materialise(members.drift(members.headers_of(staged), known, columns), "drift")
     return staged, drift, _names(drift)
 
 

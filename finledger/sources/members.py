@@ -1,7 +1,7 @@
 """Archives read member by member: each member is planned from the archive's directory and read by itself.
 
-A task looks at the end of an archive only, where its directory is; another reads the first line of a member; and a
-member's rows come from its own bytes, inflated as they are read. An archive of any size and with any number of members
+A task looks at the end of an archive only, where its directory is; a member's rows come from its own bytes, inflated as
+they are read, and are bound by the names in its first line. An archive of any size and with any number of members
 is spread over the tasks, and none of it is ever one row.
 """
 
@@ -30,9 +30,11 @@ DIRECTORY = T.StructType().add("path", T.StringType()).add("arquivo", T.StringTy
 DIRECTORY = DIRECTORY.add("inicio", T.LongType()).add("comprimido", T.LongType()).add("metodo", T.LongType())
 DIRECTORY = DIRECTORY.add("marcas", T.LongType()).add("soma", T.LongType()).add("mensagem", T.StringType())
 PLAN = T.StructType([*DIRECTORY.fields, T.StructField("colunas", T.ArrayType(T.StringType()))])
-EVENT = ["arquivo", "membro", "nivel", "mensagem", "linhas"]
+EVENT = ["arquivo", "membro", "nivel", "mensagem", "linhas", "cabecalho"]
 # What a row has in columns that its table does not know, by their names in lower case.
 MORE = "_colunas_novas"
+# What small members are brought together to.
+BATCH_ROWS, BATCH_BYTES = 1 << 15, 1 << 23
 
 
 def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
@@ -148,10 +150,14 @@ def _dealt(rows: DataFrame, found: int, size: int = 0) -> DataFrame:
 
 
 def planned(files: DataFrame) -> DataFrame:
-    """A row for each delimited member of the archives (``path``), with its place and the names in its header; for an
-    archive that can't be read or has none, a row with a message. Written, so the archives are opened once."""
-    members = materialise(_dealt(files.select("path"), files.count()).mapInArrow(_directory, DIRECTORY), "directory")
-    return materialise(_dealt(members, members.count()).mapInArrow(_with_header, PLAN), "members")
+    """A row for each delimited member of the archives (``path``), with its place; for an archive that can't be read or
+    has none, a row with a message. Written, so the directories are read once."""
+    return materialise(_dealt(files.select("path"), files.count()).mapInArrow(_directory, DIRECTORY), "directory")
+
+
+def with_headers(plan: DataFrame) -> DataFrame:
+    """The plan with the names in each member's header (``colunas``), by its first bytes alone."""
+    return _dealt(plan, plan.count()).mapInArrow(_with_header, PLAN)
 
 
 def _with_more(table: pa.Table, columns: list[str], more: list[str]) -> pa.Table:
@@ -170,30 +176,43 @@ def _with_more(table: pa.Table, columns: list[str], more: list[str]) -> pa.Table
 def _rows(columns: list[str]):
     known = {c.lower() for c in columns}
 
-    def member(name: str, own: str, blocks: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
-        header, _, first = next(blocks, b"").partition(b"\n")
-        names = ranges.header_names(header)
+    def member(name: str, own: str, header: str, blocks: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+        names = ranges.column_names(header)
         more = [n for n in names if n.lower() not in known]
-        for block in itertools.chain([first] if first else [], blocks):
+        for block in blocks:
             table = _with_more(ranges.parsed(block, names, [*columns, *more]), columns, more)
-            yield from ranges.tagged(table, arquivo=name, membro=own, nivel=None, mensagem=None, linhas=None)
+            yield from ranges.tagged(table, arquivo=name, membro=own, nivel=None, mensagem=None, linhas=None, cabecalho=None)
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, name, own, *place, message, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sent, level = 0, "INFO"
+            for path, name, own, *place, message in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sent, level, header = 0, "INFO", None
                 if own is None:
                     level = "WARNING" if message == EMPTY else "ERROR"
                 else:
                     try:
                         with ranges.opened(path) as handle:
-                            for rows in member(name, own, ranges.whole_lines(inflated(handle, *place))):
+                            blocks = ranges.whole_lines(inflated(handle, *place))
+                            line, _, first = next(blocks, b"").partition(b"\n")
+                            header = ranges.header_text(line)
+                            for rows in member(name, own, header, itertools.chain([first] if first else [], blocks)):
                                 sent += rows.num_rows
                                 yield rows
                     except _FAULTS as error:
-                        level, message, sent = "ERROR", f"Membro corrompido: {error}", 0
+                        level, message, sent, header = "ERROR", f"Membro corrompido: {error}", 0, None
                 event = _with_more(pa.table({c: pa.nulls(1, pa.string()) for c in columns}), columns, [])
-                yield from ranges.tagged(event, arquivo=name, membro=own, nivel=level, mensagem=message, linhas=sent)
+                yield from ranges.tagged(event, arquivo=name, membro=own, nivel=level, mensagem=message, linhas=sent, cabecalho=header)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Small members share a batch."""
+        held, rows, size = [], 0, 0
+        for batch in each(batches):
+            held, rows, size = [*held, batch], rows + batch.num_rows, size + batch.nbytes
+            if rows >= BATCH_ROWS or size >= BATCH_BYTES or len(held) >= 256:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows, size = [], 0, 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     return of
 
@@ -227,8 +246,17 @@ def events_of(staged: DataFrame) -> DataFrame:
     return staged.filter("nivel IS NOT NULL").select("arquivo", "membro", "nivel", "mensagem", F.col("linhas").alias("LINHAS"))
 
 
-def drift(plan: DataFrame, known: list[str], required: list[str]) -> DataFrame:
-    """(arquivo, membro, COLUNA, SITUACAO): names a member adds to the ``known`` columns (NOVA), and ``required`` ones
+def headers_of(staged: DataFrame) -> DataFrame:
+    """(arquivo, membro, colunas) of the sound members."""
+    names = F.udf(ranges.column_names, "array<string>")
+    # Members have few different headers.
+    headers = staged.filter("nivel = 'INFO'").select("arquivo", "membro", "cabecalho")
+    known = headers.select("cabecalho").distinct().select("cabecalho", names("cabecalho").alias("colunas"))
+    return headers.join(known, "cabecalho").select("arquivo", "membro", "colunas")
+
+
+def drift(headers: DataFrame, known: list[str], required: list[str]) -> DataFrame:
+    """(arquivo, membro, COLUNA, SITUACAO): names (``colunas``) a member adds to the ``known`` columns (NOVA), and ``required`` ones
     that it lacks (AUSENTE). Names are the same in any case."""
     names = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
     tag = lambda found, state: F.transform(found, lambda c: F.struct(c.alias("COLUNA"), F.lit(state).alias("SITUACAO")))
@@ -236,7 +264,7 @@ def drift(plan: DataFrame, known: list[str], required: list[str]) -> DataFrame:
     new = F.filter("colunas", lambda c: ~F.array_contains(lower, F.lower(c)))
     lacking = F.filter(names(required), lambda c: ~F.array_contains(there, F.lower(c)))
     changes = F.concat(tag(new, "NOVA"), tag(lacking, "AUSENTE"))
-    return plan.filter("colunas IS NOT NULL").select("arquivo", "membro", F.inline(changes))
+    return headers.filter("colunas IS NOT NULL").select("arquivo", "membro", F.inline(changes))
 
 
 def from_blocks(blocks: DataFrame, columns: list[str], added: list[str] | None = None) -> DataFrame:
@@ -247,11 +275,11 @@ def from_blocks(blocks: DataFrame, columns: list[str], added: list[str] | None =
     rows = rows.select(
         F.col("metadata_arquivo_origem").alias("arquivo"), F.col("metadata_membro").alias("membro"),
         *[F.lit(None).cast("string").alias(c) for c in ("nivel", "mensagem")], F.lit(None).cast("long").alias("linhas"),
-        *map(quoted, columns), more.alias(MORE),
+        F.lit(None).cast("string").alias("cabecalho"), *map(quoted, columns), more.alias(MORE),
     )
     rows = materialise(rows, "rows")
     counted = rows.groupBy("arquivo", "membro").agg(F.count("*").alias("linhas"))
-    events = blocks.select("arquivo", "membro", "nivel", "mensagem").distinct().join(counted, ["arquivo", "membro"], "left")
+    events = blocks.select("arquivo", "membro", "nivel", "mensagem", "cabecalho").distinct().join(counted, ["arquivo", "membro"], "left")
     blank = [F.lit(None).cast("string").alias(c) for c in columns]
     counts = F.coalesce("linhas", F.lit(0)).cast("long").alias("linhas")
-    return rows.unionByName(events.select(*EVENT[:4], counts, *blank, F.lit(None).cast(kind).alias(MORE)))
+    return rows.unionByName(events.select(*EVENT[:4], counts, "cabecalho", *blank, F.lit(None).cast(kind).alias(MORE)))

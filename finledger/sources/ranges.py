@@ -57,8 +57,12 @@ def column_names(header: str) -> list[str]:
     return [c if c and c.lower() not in lower[:i] else f"_c{i}" for i, c in enumerate(names)]
 
 
+def header_text(line: bytes) -> str:
+    return line.removeprefix(b"\xef\xbb\xbf").decode(ENCODING, "replace").rstrip("\r\n")
+
+
 def header_names(line: bytes) -> list[str]:
-    return column_names(line.removeprefix(b"\xef\xbb\xbf").decode(ENCODING, "replace"))
+    return column_names(header_text(line))
 
 
 def whole_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
