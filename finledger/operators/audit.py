@@ -10,7 +10,7 @@ from finledger.functions.expressions import prefix
 from finledger.functions.literals import literal_frame
 from finledger.operators.distribution import _attach, group_quantiles
 from finledger.operators.hierarchy import FILING, pair_status, parent_child_pairs
-from finledger.session import materialise
+from finledger.sources.tables import publish
 
 VALUE = "VL_CONTA_TRATADO"
 
@@ -187,15 +187,9 @@ def publish_gate(df: DataFrame) -> DataFrame:
 
 
 def write_if_approved(df: DataFrame, path: str) -> bool:
-    """Rebuild a table only when the gate approves it; tells whether it was written.
-
-    The gate judges a staging table, and that table is what is published.
-    """
-    staged = materialise(df, "staged")
-    if not publish_gate(staged).first()["APROVADO"]:
-        return False
-    staged.write.mode("overwrite").parquet(path)
-    return True
+    """Publish a table only when the gate approves it; tells whether it was. The table is written once, and the gate
+    judges what was written."""
+    return publish(df, path, lambda written: publish_gate(written).first()["APROVADO"])
 
 
 def gap_candidates(bp: DataFrame, margin: float = 0.01) -> DataFrame:

@@ -207,12 +207,19 @@ LAKE = [
 
 
 def lake_profile(spark, sf):
-    return catalog.volume_profile({n: ledger.read_table(spark, sf, n) for n in LAKE})
+    return catalog.profile(catalog.parquet_files(spark, {n: f"{sf}/{n}.parquet" for n in LAKE}))
 
 
 def lake_rows(spark, sf):
     """The part of the profile that does not depend on how files are laid out."""
-    return lake_profile(spark, sf).select("TABELA", "LINHAS")
+    return lake_profile(spark, sf).filter("TABELA IS NOT NULL").select("TABELA", "LINHAS")
+
+
+def lake_total(spark, sf):
+    """Rows of the whole lake and of its largest tables."""
+    files = catalog.parquet_files(spark, {n: f"{sf}/{n}.parquet" for n in LAKE})
+    top = catalog.profile(files, top=15)
+    return top.select(F.coalesce("TABELA", F.lit("TOTAL")).alias("TABELA"), "LINHAS")
 
 
 def load_events(spark, sf):
@@ -242,6 +249,6 @@ QUERIES = {
     f.__name__: f
     for f in [
         scan_delimited, scan_archive, archive_events, header_drift, intake_loop, source_catalog, derive_table_name, stage_text, schema_drift,
-        load_log_counts, pending_files, lake_profile, lake_rows, load_events, stream_intake,
+        load_log_counts, pending_files, lake_profile, lake_rows, lake_total, load_events, stream_intake,
     ]
 }

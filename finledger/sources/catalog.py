@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finledger import schema as S
 from finledger.functions.literals import literal_frame
+from finledger.sources import ranges
 
 
 def datasets(spark: SparkSession) -> DataFrame:
@@ -75,15 +80,44 @@ def align_to(known: DataFrame, incoming: DataFrame) -> DataFrame:
     return known.unionByName(incoming, allowMissingColumns=True)
 
 
-def volume_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows, files and bytes of every table, largest first. Bytes come from the file metadata of the scan."""
-    out = None
-    for name, df in tables.items():
-        per_file = df.groupBy(F.col("_metadata.file_path").alias("f")).agg(
-            F.count("*").alias("n"), F.max("_metadata.file_size").alias("b")
-        )
-        row = per_file.agg(
-            F.sum("n").alias("LINHAS"), F.count("*").alias("ARQUIVOS"), F.sum("b").alias("BYTES")
-        ).select(F.lit(name).alias("TABELA"), "LINHAS", "ARQUIVOS", "BYTES")
-        out = row if out is None else out.unionByName(row)
-    return out.orderBy(F.col("BYTES").desc(), "TABELA")
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, paths, sizes = (c.to_pylist() for c in batch.columns)
+        rows = []
+        for path in paths:
+            with ranges.opened(path) as handle:
+                rows.append(parquet.ParquetFile(handle).metadata.num_rows)
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+        columns = [pa.array(c, k) for c, k in zip((names, paths, rows, sizes), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=["TABELA", "ARQUIVO", "LINHAS", "BYTES"])
+
+
+def parquet_files(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """(TABELA, ARQUIVO, LINHAS, BYTES) of every file of the tables (name to path), from the files' footers: no data page
+    is read. In a store that only Spark's readers reach the rows are counted."""
+    by_footer, counted = None, None
+    for name, path in tables.items():
+        if ranges.reachable(spark, path):
+            files = ranges.listed(spark, path, "*.parquet").select(F.lit(name).alias("TABELA"), "path", "length")
+            by_footer = files if by_footer is None else by_footer.unionByName(files)
+        else:
+            rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("ARQUIVO"))
+            rows = rows.agg(F.count("*").alias("LINHAS"), F.max("_metadata.file_size").alias("BYTES"))
+            rows = rows.select(F.lit(name).alias("TABELA"), "ARQUIVO", "LINHAS", "BYTES")
+            counted = rows if counted is None else counted.unionByName(rows)
+    schema = "TABELA string, ARQUIVO string, LINHAS long, BYTES long"
+    if by_footer is not None:
+        dealt = by_footer.repartition(4 * spark.sparkContext.defaultParallelism)
+        by_footer = dealt.mapInArrow(_footers, schema)
+        return by_footer if counted is None else by_footer.unionByName(counted)
+    return counted if counted is not None else spark.createDataFrame([], schema)
+
+
+def profile(files: DataFrame, top: int | None = None) -> DataFrame:
+    """Rows, files and bytes of every table, largest first, and their total (``TABELA`` is NULL, last); with ``top`` the
+    first tables only, the total of all."""
+    sums = [F.sum("LINHAS").alias("LINHAS"), F.count("*").alias("ARQUIVOS"), F.sum("BYTES").alias("BYTES")]
+    tables = files.groupBy("TABELA").agg(*sums).orderBy(F.col("BYTES").desc(), "TABELA")
+    tables = tables if top is None else tables.limit(top)
+    total = files.agg(*sums).select(F.lit(None).cast("string").alias("TABELA"), "LINHAS", "ARQUIVOS", "BYTES")
+    return tables.unionByName(total)

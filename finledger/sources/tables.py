@@ -1,9 +1,11 @@
-"""Writing tables: append by year, rebuild, publish as a view, export, and the check after a write."""
+"""Writing tables: append by year, publish a new version, replace parts, export, and the check after a write."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,120 @@ def append_by_year(df: DataFrame, path: str, year: str) -> None:
     df.hint("rebalance", year).write.mode("append").partitionBy(year).parquet(path)
 
 
-def rebuild(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+CURRENT = "_atual"
+
+
+def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    place, system = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
+
+
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """The folders that make up the current version of a published table; none where nothing was published."""
+    place, system = _folder(spark, f"{path}/{CURRENT}")
+    if not system.exists(place):
+        return []
+    stream = system.open(place)
+    try:
+        return [line for line in stream.readUTF().split("\n") if line]
+    finally:
+        stream.close()
+
+
+def _point(spark: SparkSession, path: str, folders: list[str]) -> None:
+    """Make ``folders`` the current version, in one step: the pointer is written beside the old one and takes its name."""
+    beside, system = _folder(spark, f"{path}/{CURRENT}-{uuid.uuid4().hex}")
+    stream = system.create(beside, True)
+    stream.writeUTF("\n".join(folders))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(beside.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(beside, hadoop.Path(f"{path}/{CURRENT}"), options)
+
+
+def publish(df: DataFrame, path: str, approved: Callable[[DataFrame], bool] | None = None, by: str | None = None) -> bool:
+    """Write a table as a new version of ``path`` and make it the current one; tells whether it was.
+
+    The version is written once, in a folder of its own; ``approved`` judges what was written, and only then the pointer
+    moves. A write that fails, or a table that is refused, leaves the old version as it is, and readers of the old
+    version keep its files (``forget``). ``published`` reads; ``by`` lays the version out by a column of few values.
+    """
+    spark, version = df.sparkSession, f"versao={uuid.uuid4().hex}"
+    (df.write if by is None else df.write.partitionBy(by)).parquet(f"{path}/{version}")
+    if approved is not None and not approved(spark.read.schema(df.schema).parquet(f"{path}/{version}")):
+        place, system = _folder(spark, path)
+        system.delete(_folder(spark, f"{path}/{version}")[0], True)
+        if not _children(spark, path):
+            system.delete(place, False)
+        return False
+    _point(spark, path, _version_parts(spark, path, version, by))
+    return True
+
+
+def _version_parts(spark: SparkSession, path: str, version: str, by: str | None) -> list[str]:
+    if by is None:
+        return [version]
+    return [f"{version}/{name}" for name in _children(spark, f"{path}/{version}") if name.startswith(f"{by}=")]
+
+
+def replace_parts(df: DataFrame, path: str, by: str, values: list) -> None:
+    """Replace the parts of a published table that have ``values`` in the column ``by`` with the rows of ``df``, which
+    has no others. Parts that are not named are neither read nor written; all change in one step."""
+    spark, version = df.sparkSession, f"versao={uuid.uuid4().hex}"
+    df.write.partitionBy(by).parquet(f"{path}/{version}")
+    gone = {f"{by}={v}" for v in values}
+    kept = [p for p in parts(spark, path) if p.rsplit("/", 1)[-1] not in gone]
+    _point(spark, path, kept + _version_parts(spark, path, version, by))
+
+
+def published(spark: SparkSession, path: str, schema: T.StructType, by: str | None = None, values: list | None = None) -> DataFrame:
+    """The current version of a published table, or its parts with ``values`` in the column ``by``."""
+    folders = parts(spark, path)
+    if values is not None:
+        wanted = {f"{by}={v}" for v in values}
+        folders = [f for f in folders if f.rsplit("/", 1)[-1] in wanted]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    stored = T.StructType([f for f in schema.fields if f.name != by])
+    df = spark.read.schema(stored).parquet(*[f"{path}/{f}" for f in folders])
+    if by is None:
+        return df
+    value = F.regexp_extract("_metadata.file_path", f"/{by}=([^/]*)/[^/]*$", 1).cast(schema[by].dataType)
+    return df.select("*", value.alias(by)).select(*schema.names)
+
+
+def forget(spark: SparkSession, path: str) -> int:
+    """Remove the versions that the current one does not use, and what broken writes left; tells how many. For a time
+    when no reader holds an older version."""
+    used = {p.split("/", 1)[0] for p in parts(spark, path)}
+    old = [n for n in _children(spark, path) if n.startswith("versao=") and n not in used or n.startswith(f"{CURRENT}-")]
+    for name in old:
+        place, system = _folder(spark, f"{path}/{name}")
+        system.delete(place, True)
+    return len(old)
 
 
 def rebuild_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+    """Rebuild a table under its name: the rows are written to a folder of their own, and then the name moves to it.
+
+    While the columns stay the same the table is there all the time; a write that fails leaves it as it was.
+    """
+    spark = df.sparkSession
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == spark.read.parquet(path).schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path, "parquet")
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -46,8 +156,8 @@ def written_rows(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     spark = df.sparkSession
     values = materialise(df, "staged")
     before = values.groupBy(*keys).agg(F.count("*").alias("ESPERADO"))
-    rebuild(values, path)
-    after = spark.read.schema(df.schema).parquet(path).groupBy(*keys).agg(F.count("*").alias("GRAVADO"))
+    publish(values, path)
+    after = published(spark, path, df.schema).groupBy(*keys).agg(F.count("*").alias("GRAVADO"))
     both = before.join(after, keys, "full")
     return both.withColumn("CONFERE", F.coalesce(F.col("ESPERADO") == F.col("GRAVADO"), F.lit(False)))
 

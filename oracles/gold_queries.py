@@ -52,6 +52,12 @@ ORACLES = {
     "account_pivot": query("first_plain", f"SELECT * EXCLUDE (SETOR) REPLACE ({money(*FIRST_MONEY)}) FROM first_plain"),
     "mart_second_order": query("second", f"SELECT CNPJ_CIA, ANO_FISCAL, {money(*TERMS)} FROM second"),
     "indicator_mart": whole("mart", "mart"),
+    "mart_incremental": whole("mart", "mart"),
+    "mart_touched": query(
+        "mart",
+        """SELECT CASE ANO_FISCAL % 5 WHEN 0 THEN 'NOVO' WHEN 1 THEN 'ALTERADO' ELSE 'RETIRADO' END AS SITUACAO, count(*) AS LINHAS
+FROM mart WHERE ANO_FISCAL % 5 < 3 GROUP BY ALL""",
+    ),
     "scissors_effect": query("mart", f"SELECT CNPJ_CIA, ANO_FISCAL, {money('ST')}, EFEITO_TESOURA FROM mart"),
     "curated_mart": whole("cur_mart", "cur_mart"),
     "indicators_unpivot": query("long", f"SELECT * REPLACE ({rounded('VL_INDICADOR', places=4)}) FROM long"),

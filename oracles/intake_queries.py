@@ -26,6 +26,8 @@ _lake = [
 
 ORACLES = {
     "lake_rows": " UNION ALL ".join(f"SELECT '{t}' AS TABELA, count(*) AS LINHAS FROM {t}" for t in _lake),
+    "lake_total": "WITH t AS (" + " UNION ALL ".join(f"SELECT '{t}' AS TABELA, count(*) AS LINHAS FROM {t}" for t in _lake)
+    + ") SELECT * FROM t UNION ALL SELECT 'TOTAL', CAST(sum(LINHAS) AS BIGINT) FROM t",
     "scan_delimited": query("lines", f"SELECT CNPJ_CIA, ORDEM_EXERC, count(*) AS LINHAS, {TOTAL} FROM lines GROUP BY ALL"),
     "scan_archive": query(
         "lines", f"SELECT {FILE} AS metadata_membro, CNPJ_CIA, count(*) AS LINHAS, {TOTAL} FROM lines GROUP BY ALL"
