@@ -64,6 +64,28 @@ def test_small_tasks_against_brute_force(spark, data_dir):
     assert mined(docs, least=12, depth=4, task_rows=2000) == want and len(want) > 100
 
 
+def test_many_runs_sections_and_ranges(spark, data_dir, monkeypatch):
+    """Long pieces in sections, many runs of a task, ranges of a hundred suffixes."""
+    for name, value in (("SECTION", 7), ("RUN_WORDS", 500), ("SAMPLE_STEP", 16), ("WORDS_HELD", 300)):
+        monkeypatch.setattr(phrases, name, value)
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").limit(60)
+    rows = [(r.lang, r.text) for r in docs.select("lang", "text").collect()]
+    rows += [("en", " ".join(f"w{i % 13} x{i % 5}" for i in range(900)))] + [("xx", "a b " * 50)] * 3
+    assert mined(texts(spark, rows), least=8, task_rows=100) == plain(rows, 8)
+
+
+def test_ranges_part_sorted_suffixes():
+    words = [b"a", b"b", b"d"]
+    flat = np.array([2, 0, 1, -1, 0, 1, 2, 0, 1, -1, 1, -1, 0, phrases.GHOST + 1, phrases.GHOST + 2, -1])
+    names, high, low, times = phrases.sorted_suffixes(flat, [b"b", b"d", b"a"], 5)
+    assert names == words and times.sum() == 2 + 4 + 1
+    mask = (1 << phrases.CODE_BITS) - 1
+    got = [tuple(words[c - 1] if c else b"" for c in (h >> 42, h >> 21 & mask, h & mask, x >> 21, x & mask)) for h, x in zip(high, low, strict=True)]
+    assert got == sorted(got)
+    for bound in [(b"", b"", b"", b"", b""), (b"a", b"b", b"", b"", b""), (b"aa", b"z", b"", b"", b""), (b"b", b"c", b"a", b"", b""), *got, (b"z", b"", b"", b"", b"")]:
+        assert phrases._cut(bound, words, high, low) == sum(g < bound for g in got), bound
+
+
 def test_hot_words_and_one_hot_suffix(spark):
     rng = np.random.default_rng(3)
     rows = [("a", "z " * 4000), ("a", " ".join(rng.choice(["p", "q", "r"], 3000))), ("b", "z z z. z z")]
@@ -107,6 +129,9 @@ def test_quicksort_counts_and_abandons():
     got = {tuple(keys[r, :d].tolist()): n for r, d, n in phrases.quicksort_counts(keys, 20)}
     assert got == {k: n for k, n in want.items() if n >= 20}
     assert phrases.quicksort_counts(keys[:5], 20) == []
+    assert sorted(n for _, d, n in phrases.quicksort_counts(keys[:5], 20, np.full(5, 20)) if d == 1) == sorted(
+        20 * n for k, n in Counter(keys[:5, 0].tolist()).items() if k >= 0
+    )
 
 
 def test_rank_and_limit(spark):
