@@ -307,7 +307,31 @@ def variable_coverage(stacked: DataFrame) -> DataFrame:
     universe = stacked.groupBy("GRUPO_DFP_TRATADO").agg(*counts).withColumnsRenamed(
         {"EMPRESAS": "TOTAL_EMPRESAS", "FILINGS": "TOTAL_FILINGS"}
     )
-    spec = variable_spec(stacked.sparkSession).drop("CD_CONTA").distinct()
+    return coverage_report(present, universe)
+
+
+def coverage_facts(stacked: DataFrame) -> DataFrame:
+    """What is counted: each line for its statement, and for the variables that its account feeds."""
+    spec = variable_spec(stacked.sparkSession).groupBy("GRUPO_DFP_TRATADO", "CD_CONTA").agg(F.collect_set("VARIAVEL").alias("_fed"))
+    fed = stacked.join(F.broadcast(spec), ["GRUPO_DFP_TRATADO", "CD_CONTA"], "left")
+    subject = lambda kind, name: F.struct(F.lit(kind).alias("TIPO"), name.alias("NOME"))
+    variables = F.transform(F.coalesce("_fed", F.array().cast("array<string>")), lambda v: subject("VARIAVEL", v))
+    counted = F.concat(F.array(subject("GRUPO", F.col("GRUPO_DFP_TRATADO"))), variables)
+    return fed.select("CNPJ_CIA", "DT_REFER", F.inline(counted))
+
+
+def coverage_from_counts(counts: DataFrame) -> DataFrame:
+    """The coverage of variables from the counts of their subjects (``coverage.distinct_counts``)."""
+    present = counts.filter("TIPO = 'VARIAVEL'").select(F.col("NOME").alias("VARIAVEL"), "EMPRESAS", "FILINGS")
+    universe = counts.filter("TIPO = 'GRUPO'").select(
+        F.col("NOME").alias("GRUPO_DFP_TRATADO"), F.col("EMPRESAS").alias("TOTAL_EMPRESAS"), F.col("FILINGS").alias("TOTAL_FILINGS")
+    )
+    return coverage_report(present, universe)
+
+
+def coverage_report(present: DataFrame, universe: DataFrame) -> DataFrame:
+    """The share of a statement's companies and filings that each variable has, against what is expected."""
+    spec = variable_spec(present.sparkSession).drop("CD_CONTA").distinct()
     joined = spec.join(universe, "GRUPO_DFP_TRATADO", "left").join(present, "VARIAVEL", "left")
     pct = F.round(F.coalesce("EMPRESAS", F.lit(0)) * 100.0 / F.nullif("TOTAL_EMPRESAS", F.lit(0)), 1)
     pct_ep = F.round(F.coalesce("FILINGS", F.lit(0)) * 100.0 / F.nullif("TOTAL_FILINGS", F.lit(0)), 1)

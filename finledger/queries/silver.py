@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from finledger import schema as S
 from finledger.functions.expressions import digits, sector_label
-from finledger.operators import audit, hierarchy, naming, normalise, rows
+from finledger.operators import audit, coverage, hierarchy, naming, normalise, rows
 from finledger.plans import curation, lake, ledger, mart, serving
 from finledger.queries.report import report
-from finledger.session import materialise
+from finledger.session import materialise, work_path
 
 VALUE = ["VL_CONTA_TRATADO"]
 
@@ -388,6 +388,17 @@ def variable_coverage(spark, sf):
     return audit.variable_coverage(materialise(lake.repaired_accounts(spark, sf), "accounts"))
 
 
+def coverage_bitmaps(spark, sf):
+    """Coverage of variables from bitmaps kept by year: kept once without the last years, then refreshed with these."""
+    facts = materialise(audit.coverage_facts(lake.repaired_accounts(spark, sf)), "facts")
+    path, year = work_path(spark, "coverage"), F.year("DT_REFER")
+    years = sorted(r[0] for r in facts.select(year).distinct().collect() if r[0] is not None)
+    late = years[-3:]
+    coverage.keep(facts.filter(~year.isin(late)), path)
+    coverage.refresh(facts.filter(year.isin(late)), late, path)
+    return audit.coverage_from_counts(coverage.kept_counts(spark, path))
+
+
 def variable_range(spark, sf):
     ranges = audit.variable_range(_stacked(spark, sf))
     return report(ranges, ["MINIMO", "MAXIMO"], ["MEDIANA"], places=4)
@@ -428,7 +439,7 @@ QUERIES = {
         balance_equation, status_distribution, flag_distribution, leaf_distribution, duplicate_keys,
         parent_child_check, parent_child_summary, coverage_crosscheck, cash_identity, cash_reconciliation,
         waterfall_check, publish_gate, gap_candidates, group_totals, top_divergences, top_reconstructed,
-        audit_checklist, variable_catalogue, variable_coverage, variable_range, variable_dictionary, fallback_origin,
+        audit_checklist, variable_catalogue, variable_coverage, coverage_bitmaps, variable_range, variable_dictionary, fallback_origin,
         missing_periods, entities_by_dimension,
     ]
 } | {"sector_label": sector_labels}

@@ -368,3 +368,5 @@ WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.CNPJ_CIA = s.CNPJ_CIA AND h.y = s
         + ")",
     ),
 }
+
+ORACLES["coverage_bitmaps"] = ORACLES["variable_coverage"]
