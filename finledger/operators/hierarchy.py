@@ -29,7 +29,12 @@ def deepest_level(lines: DataFrame) -> int:
 
 
 def roll_up(
-    collapsed: DataFrame, rule: str, lowest_child_level: int, deepest: int | None = None, carry: list[str] | None = None
+    collapsed: DataFrame,
+    rule: str,
+    lowest_child_level: int,
+    deepest: int | None = None,
+    carry: list[str] | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Rebuild parents from their children, deepest level first.
 
@@ -44,11 +49,13 @@ def roll_up(
 
     The input has one row per account, so a filing is bounded by the chart of accounts. It is shuffled once by
     filing; every possible parent is added as an empty row, and each level is then a window inside the filing: no
-    join, and no further shuffle, whatever the number of levels.
+    join, and no further shuffle, whatever the number of levels. An input that is ``placed`` comes from a table stored by
+    filing and is not shuffled at all.
     """
     carry = carry or []
     above = F.filter(ancestors("CD_CONTA"), lambda a: F.size(F.split(a, r"\.")) >= lowest_child_level - 1)
-    spread = collapsed.repartition(*FILING).withColumn("_code", F.explode(F.concat(F.array("CD_CONTA"), above)))
+    grouped = collapsed if placed else collapsed.repartition(*FILING)
+    spread = grouped.withColumn("_code", F.explode(F.concat(F.array("CD_CONTA"), above)))
     own = F.col("_code") == F.col("CD_CONTA")
     # One reported row per account at most, so the aggregates below pick it; an account without one stays empty.
     tree = spread.groupBy(*FILING, F.col("_code").alias("_account")).agg(

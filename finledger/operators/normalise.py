@@ -129,8 +129,9 @@ CONSOLIDATED_COLUMNS = [
 ]
 
 
-def newest_lines(lines: DataFrame, registry: DataFrame) -> DataFrame:
-    """Newest filing of every eligible company per source table, non-zero values only.
+def newest_lines(lines: DataFrame, registry: DataFrame, placed: bool = False) -> DataFrame:
+    """Newest filing of every eligible company per source table, non-zero values only. Lines that are ``placed`` are
+    stored by company and date.
 
     All source tables go through one pass; the newest version is chosen per table, as each is filed on its own. The
     eligible companies are written first: their measured size decides whether they filter the lines by a broadcast,
@@ -141,7 +142,7 @@ def newest_lines(lines: DataFrame, registry: DataFrame) -> DataFrame:
         eligible_entities(registry, exclude_real_estate=False).select("CNPJ_CIA", "SETOR_ATIV"), "eligible"
     )
     listed = current_period(equity_total_only(lines)).join(eligible, "CNPJ_CIA")
-    newest = latest_filing(listed, ["TABLE_NAME", "CNPJ_CIA", "DT_REFER"])
+    newest = latest_filing(listed, ["TABLE_NAME", "CNPJ_CIA", "DT_REFER"], placed=placed)
     # Derived columns come after the shuffle of the filings: they are not carried through it, nor worked out for
     # lines that an older version loses.
     tagged = newest.withColumn("_origem_tabela", F.concat(F.lit("layer_01_bronze."), F.col("TABLE_NAME")))

@@ -20,12 +20,16 @@ def newest_first(*columns: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
-def latest_filing(df: DataFrame, keys: list[str], version: str = "VERSAO") -> DataFrame:
+def latest_filing(df: DataFrame, keys: list[str], version: str = "VERSAO", placed: bool = False) -> DataFrame:
     """All rows of the highest version per key.
 
     A window would put a whole key into one task. The maximum combines on the map side and the semi join is one that
-    adaptive execution can split, so a key of any size is fine.
+    adaptive execution can split, so a key of any size is fine. Rows that are ``placed``, stored by some of the keys, are
+    in one task already: there a window needs no exchange.
     """
+    if placed:
+        newest = F.max(version).over(Window.partitionBy(*keys))
+        return df.withColumn("_newest", newest).filter(F.col(version) == F.col("_newest")).drop("_newest")
     latest = df.groupBy(*keys).agg(F.max(version).alias(version))
     return df.join(latest, [*keys, version], "left_semi")
 

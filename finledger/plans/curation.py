@@ -58,9 +58,9 @@ def collapsed_statement(extract: DataFrame) -> DataFrame:
     return collapse_accounts(extract, {"REPORTADO": F.max_by(newest, _order())})
 
 
-def repaired_statement(extract: DataFrame, statement: Statement, deepest: int | None = None) -> DataFrame:
+def repaired_statement(extract: DataFrame, statement: Statement, deepest: int | None = None, placed: bool = False) -> DataFrame:
     collapsed = collapsed_statement(extract)
-    return roll_up(collapsed, statement.rule, statement.lowest_child_level, deepest, carry=["REPORTADO"])
+    return roll_up(collapsed, statement.rule, statement.lowest_child_level, deepest, carry=["REPORTADO"], placed=placed)
 
 
 def balance_status(assets: Column, liabilities: Column) -> Column:
@@ -156,15 +156,16 @@ def curate(consolidated: DataFrame, code: str, leaf_scope: str = "table") -> Dat
     )
 
 
-def repaired_values(consolidated: DataFrame, code: str, deepest: int | None = None) -> DataFrame:
+def repaired_values(consolidated: DataFrame, code: str, deepest: int | None = None, placed: bool = False) -> DataFrame:
     """Repaired balances of a statement without names: all that marts and arithmetic audits need.
 
-    ``deepest`` spares a look at the codes of ``consolidated`` where it is not a stored table.
+    ``deepest`` spares a look at the codes of ``consolidated`` where it is not a stored table; lines that are ``placed``
+    come from a table stored by filing.
     """
     statement = STATEMENTS[code]
     if deepest is None:
         deepest = deepest_level(consolidated.filter(F.col("GRUPO_DFP_TRATADO") == code))
-    repaired = repaired_statement(statement_extract(consolidated, statement), statement, deepest)
+    repaired = repaired_statement(statement_extract(consolidated, statement), statement, deepest, placed)
     return repaired.select(
         *FILING,
         "DENOM_CIA",

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.operators.hierarchy import deepest_level
+from finledger.operators.hierarchy import FILING, deepest_level
 from finledger.operators.normalise import current_period, newest_lines, normalise_lines
 from finledger.operators.rows import newest_first, newest_row
 from finledger.plans import ledger
 from finledger.plans.curation import curate, curated_tables, repaired_values
 from finledger.plans.mart import mart_from_lines, simple_mart
-from finledger.session import materialise
+from finledger.session import materialise, stored_by
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,18 @@ def repaired(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
     return repaired_values(statement_lines(spark, sf_dir, code), code, deepest)
 
 
+def bronze_by_filing(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    """Raw lines stored by company and date: choosing the newest filing, dropping repeated lines, adding up accounts and
+    repairing the tree then go without an exchange."""
+    return stored_by(raw_lines(spark, sf_dir), FILING, "bronze", buckets)
+
+
+def repaired_in_place(bronze: DataFrame, registry: DataFrame, code: str) -> DataFrame:
+    """Repaired balances of one statement from lines stored by filing."""
+    lines = bronze.filter(F.col("TABLE_NAME").isin(STATEMENT_TABLES[code]))
+    return repaired_values(newest_lines(lines, registry, placed=True), code, deepest_level(lines), placed=True)
+
+
 def repaired_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repaired balances of all statements with their statement, without names: what counts of accounts need."""
     lines, out = silver_lines(spark, sf_dir), None

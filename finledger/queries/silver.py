@@ -187,6 +187,16 @@ def hierarchy_rollup_force(spark, sf):
     return report(_repaired(spark, sf, "DRE").select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "VL_CONTA_TRATADO", "ACAO"), VALUE)
 
 
+def filing_layout(spark, sf):
+    """Balance sheets and income statements repaired from lines stored by filing, without an exchange after the scan."""
+    bronze, registry = lake.bronze_by_filing(spark, sf), ledger.registry(spark, sf)
+    out = None
+    for code in ("BP", "DRE"):
+        part = lake.repaired_in_place(bronze, registry, code).select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "VL_CONTA_TRATADO", "ACAO")
+        out = part if out is None else out.unionByName(part)
+    return report(out, VALUE)
+
+
 def rollup_audit(spark, sf):
     out = None
     for code in curation.STATEMENTS:
@@ -433,7 +443,7 @@ QUERIES = {
         scan_projection, eligible_entities, filter_funnel, excluded_by_group, ilike_filter, current_period_filter,
         scale_normalise, statement_class, level_filter, outlier_null, dedup_latest, dedup_prefer_original,
         latest_filing, distinct_on, distinct_entities, consolidate_sources, is_leaf, join_inner, collapse_duplicates,
-        hierarchy_rollup_safe, hierarchy_rollup_force, rollup_audit, golden_names, golden_flag, modal_scale, trace_flags,
+        hierarchy_rollup_safe, hierarchy_rollup_force, filing_layout, rollup_audit, golden_names, golden_flag, modal_scale, trace_flags,
         level_labels, level_names_join, is_leaf_global, is_leaf_entity, metadata_attach, gap_fill, curated_bp,
         curated_dre, curated_dfc, golden_schema, stack_statements, balance_status, cashflow_status, volume_summary,
         balance_equation, status_distribution, flag_distribution, leaf_distribution, duplicate_keys,

@@ -81,3 +81,18 @@ def materialise(df: DataFrame, name: str = "stage", by: str | None = None) -> Da
 def quoted(name: str) -> str:
     """A column's name as it is, whatever characters it has."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def stored_by(df: DataFrame, keys: list[str], name: str = "table", buckets: int | None = None) -> DataFrame:
+    """Write ``df`` laid out by ``keys`` and read it back: rows of equal keys are in one bucket, and Spark knows it.
+
+    Windows, aggregations and distinct rows whose keys include ``keys`` then need no exchange, however often the table is
+    read. Each bucket is one file, sorted by the keys; there are as many as shuffle partitions unless ``buckets`` says
+    otherwise. The table is known to this session by a name of its own and lies in the shared folder.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(count, *keys).write.bucketBy(count, *keys).sortBy(*keys)
+    dealt.option("path", work_path(spark, table)).saveAsTable(table)
+    return spark.table(table)

@@ -130,6 +130,11 @@ FROM typed t JOIN eligible8 e ON e.CNPJ_CIA = t.CNPJ_CIA WHERE coalesce(SETOR_AT
         "bp_t5",
         f"SELECT CNPJ_CIA, DT_REFER, CD_CONTA, CAST(length(replace(CD_CONTA, '.', '')) AS INTEGER) AS CD_CONTA_QTD_DIGITOS, {m('v', 'VL_CONTA_TRATADO')}, DENOM_CIA FROM bp_t5",
     ),
+    "filing_layout": query(
+        "bp_rolled dre_rolled",
+        f"""SELECT CNPJ_CIA, DT_REFER, CD_CONTA, {m('v', 'VL_CONTA_TRATADO')}, ACAO FROM bp_rolled
+UNION ALL SELECT CNPJ_CIA, DT_REFER, CD_CONTA, {m('v', 'VL_CONTA_TRATADO')}, ACAO FROM dre_rolled""",
+    ),
     "hierarchy_rollup_safe": query("bp_rolled", f"SELECT CNPJ_CIA, DT_REFER, CD_CONTA, {m('v', 'VL_CONTA_TRATADO')}, ACAO FROM bp_rolled"),
     "hierarchy_rollup_force": query("dre_rolled", f"SELECT CNPJ_CIA, DT_REFER, CD_CONTA, {m('v', 'VL_CONTA_TRATADO')}, ACAO FROM dre_rolled"),
     "rollup_audit": query(

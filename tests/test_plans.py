@@ -76,3 +76,15 @@ def test_one_statement_is_cut_out_before_anything_is_written(spark, data_dir):
     assert "silver_lines" not in plan_of(lines)
     whole = lake.silver_lines(spark, data_dir).filter("GRUPO_DFP_TRATADO = 'DRE'").select(*lines.columns)
     assert lines.count() == whole.count() > 0 and lines.exceptAll(whole).count() == 0
+
+
+def test_lines_stored_by_filing_need_no_exchange(spark, data_dir):
+    """Newest filing, repeated lines, collapse and repair are planned from the layout of the stored table."""
+    bronze, registry = lake.bronze_by_filing(spark, data_dir, buckets=6), lake.ledger.registry(spark, data_dir)
+    for code in ("BP", "DRE", "DFC"):
+        found = lake.repaired_in_place(bronze, registry, code)
+        exchanges = re.findall(r"^\(\d+\) (\w*Exchange)", plan_of(found), flags=re.M)
+        assert set(exchanges) <= {"BroadcastExchange"}, exchanges
+        want = lake.repaired(spark, data_dir, code).select(found.columns)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
+    assert "SelectedBucketsCount: 6 out of 6" in plan_of(found)
