@@ -1,10 +1,12 @@
 """Nearest neighbours by inner product: a vantage-point tree in each shard.
 
 Largest inner products become smallest distances by one more component, ``sqrt(M^2 - |x|^2)`` with M the largest norm of
-the shard (0 for queries). Rows are dealt by bands of norm into shards of bounded size, so that a row of very large norm
-is with its like; shard and queries are scaled by powers of two, which change no product. A shard's tree halves its rows again and again by
-their distance from a vantage point. Queries are searched in blocks, all queries of a block at once: a node's nearer
-half comes first, and the other half is entered only by queries for which
+the shard (0 for queries). Distances are those of queries brought to the norm M, which keeps the order of their products:
+so they lie on the sphere that the rows lie on, whatever their own norm. Rows are dealt by bands of norm into shards of
+bounded size, so that a row of very large norm is with its like; shard and queries are scaled by powers of two, which
+change no product. A shard's tree halves its rows again and again by their distance from a vantage point; it is built
+once and stored with the rows. Queries are searched in blocks, all queries of a block at once: a node's nearer half comes
+first, and the other half is entered only by queries for which
 
     |d(query, vantage) - boundary|  <=  factor * distance of the k-th nearest so far .
 
@@ -73,12 +75,21 @@ class Tree:
             todo += [(a + half, b, node, True), (a, a + half, node, False)]
         return tree
 
+    def packed(self) -> dict[str, bytes]:
+        nodes = np.array([self.vantage, self.inner, self.outer, self.start, self.end], dtype="<i4")
+        return {"order": self.order.astype("<i4").tobytes(), "nodes": nodes.tobytes(), "boundary": np.array(self.boundary, dtype="<f8").tobytes()}
+
+    @classmethod
+    def unpacked(cls, order: bytes, nodes: bytes, boundary: bytes) -> Tree:
+        vantage, inner, outer, start, end = np.frombuffer(nodes, "<i4").reshape(5, -1).tolist()
+        return cls(np.frombuffer(order, "<i4"), vantage, np.frombuffer(boundary, "<f8").tolist(), inner, outer, start, end)
+
 
 class Search:
     """The ``k`` nearest rows of one tree for a block of queries.
 
-    With ``lifted``, the norm that all points have, rows are chosen by the product alone: what they are compared by is
-    the squared distance less ``|q|^2 + lifted^2``, which would round small products away.
+    With ``lifted``, the norm that all points have, rows are chosen by the product alone, for squared distances would
+    round small products away; distances, for the pruning, are those of the query brought to that norm.
     """
 
     def __init__(self, tree: Tree, points: np.ndarray, ids: np.ndarray, k: int, factor: float, lifted: float | None = None):
@@ -90,6 +101,8 @@ class Search:
         n = len(queries)
         self.queries, self.query_ids = queries, query_ids
         self.query_squares = (queries**2).sum(axis=1)
+        if self.lifted is not None:
+            self.stretch = self.lifted / np.sqrt(self.query_squares)
         self.rows = np.full((n, self.k), -1)
         self.best = np.full((n, self.k), np.inf)
         self._visit(0, np.arange(n))
@@ -104,7 +117,7 @@ class Search:
     def _root(self, own: np.ndarray, compared: np.ndarray) -> np.ndarray:
         """The distance."""
         if self.lifted is not None:
-            compared = compared + self.query_squares[own] + self.lifted**2
+            compared = compared * self.stretch[own] + 2 * self.lifted**2
         return np.sqrt(np.maximum(compared, 0))
 
     def _visit(self, node: int, own: np.ndarray) -> None:
@@ -151,13 +164,20 @@ def _scaled(rows: np.ndarray, exponent: np.ndarray | int) -> np.ndarray:
     return np.ldexp(rows, -np.asarray(exponent, dtype=np.int64))
 
 
+def _lifted(own: np.ndarray) -> tuple[np.ndarray, float]:
+    """Rows with one more component, so that all have the norm of the longest."""
+    squares = (own**2).sum(axis=1)
+    longest = float(np.sqrt(squares.max()))
+    return np.column_stack([own, np.sqrt(np.maximum(0, longest**2 - squares))]), longest
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
     k: int = 20,
     factor: float = 0.2,
-    shard_rows: int = 4096,
-    block_rows: int = 2048,
+    shard_rows: int = 8192,
+    block_rows: int = 8192,
     key: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
@@ -165,8 +185,10 @@ def nearest(
 
     Every usable row is indexed; vectors of other lengths than the most frequent one are not comparable and take no
     part. Repeated rows of one key and vector count once; a key with several vectors takes part with the smallest. Rows
-    without a key take no part. Ties go to the smaller key; scores beyond the range of doubles are infinite and tie. Each task holds one shard and one block of queries, both of
-    bounded size, however many rows are equal.
+    without a key take no part. Ties go to the smaller key; scores beyond the range of doubles are infinite and tie. Each
+    task holds one shard and one block of queries, both of bounded size, however many rows are equal. Every query looks
+    into every shard: tasks and what they are sent grow with the number of shards times that of blocks, and the pruning
+    works inside a shard.
     """
     clean = vectors.filter(F.col(key).isNotNull() & usable(F.col(vector)) & (F.size(vector) > 0))
     clean = clean.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q"))
@@ -192,17 +214,21 @@ def nearest(
 
     def index(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id")
-        return pd.DataFrame(
-            {"shard": [group["shard"].iloc[0]], "ids": [group["id"].to_numpy("<i8").tobytes()], "vectors": [_packed(group["v"])]}
-        )
+        packed = _packed(group["v"])
+        own = _matrix(packed, len(group))
+        points, _ = _lifted(_scaled(own, np.frexp(np.abs(own).max())[1]))
+        shard, ids = int(group["shard"].iloc[0]), group["id"].to_numpy("<i8").tobytes()
+        return pd.DataFrame([{"shard": shard, "ids": ids, "vectors": packed, **Tree.build(points).packed()}])
 
     def block_of(group: pd.DataFrame) -> pd.DataFrame:
-        packed = index(group.rename(columns={"block": "shard"}))
-        return packed.rename(columns={"shard": "block", "ids": "query_ids", "vectors": "queries"})
+        group = group.sort_values("id")
+        block, ids = int(group["block"].iloc[0]), group["id"].to_numpy("<i8").tobytes()
+        return pd.DataFrame([{"block": block, "query_ids": ids, "queries": _packed(group["v"])}])
 
     dealt = clean.withColumn("place", place)
     dealt = dealt.withColumn("shard", (F.col("place.start") + F.pmod(F.xxhash64("id"), F.col("place.shards"))).cast("int"))
-    trees = dealt.select("id", "v", "shard").groupBy("shard").applyInPandas(index, "shard int, ids binary, vectors binary")
+    stored = "shard int, ids binary, vectors binary, order binary, nodes binary, boundary binary"
+    trees = dealt.select("id", "v", "shard").groupBy("shard").applyInPandas(index, stored)
     asked = clean.filter("q").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
     asked = asked.select("id", "v", "block").groupBy("block")
     asked = materialise(asked.applyInPandas(block_of, "block int, query_ids binary, queries binary"), "blocks")
@@ -214,11 +240,10 @@ def nearest(
         own, asked = _matrix(row["vectors"], len(ids)), _matrix(row["queries"], len(query_ids))
         exponent, exponents = np.frexp(np.abs(own).max())[1], np.frexp(np.abs(asked).max(axis=1))[1]
         own, asked = _scaled(own, exponent), _scaled(asked, exponents[:, None])
-        squares = (own**2).sum(axis=1)
-        longest = float(np.sqrt(squares.max()))
-        points = np.column_stack([own, np.sqrt(np.maximum(0, longest**2 - squares))])
+        points, longest = _lifted(own)
+        tree = Tree.unpacked(row["order"], row["nodes"], row["boundary"])
         block = np.column_stack([asked, np.zeros(len(asked))])
-        rows, _ = Search(Tree.build(points), points, ids, k, factor, longest).run(block, query_ids)
+        rows, _ = Search(tree, points, ids, k, factor, longest).run(block, query_ids)
         q, _ = found = np.nonzero(rows >= 0)
         picks = rows[found]
         score = np.zeros(len(picks))

@@ -51,6 +51,35 @@ def test_pruning_is_relaxed_by_the_factor():
     assert sizes[0.0] < sizes[0.3] < sizes[1.0] < 50 * 2000
 
 
+def recall(spark, frame, **options):
+    rows = frame.select("vec_id", "embedding").orderBy("vec_id").collect()
+    ids, points = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float)
+    asked = np.flatnonzero(ids % 20 == 0)
+    product = points[asked] @ points.T
+    product[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-product, 20, axis=1)[:, :20]
+    want = {(int(ids[q]), int(ids[i])) for q, row in zip(asked, best, strict=True) for i in row}
+    found = vptree.nearest(frame, F.col("vec_id") % 20 == 0, k=20, **options)
+    return len(want & {(r.query_id, r.vec_id) for r in found.collect()}) / len(want)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+@pytest.mark.parametrize("options", [{}, {"shard_rows": 300}, {"shard_rows": 900, "block_rows": 40}])
+def test_recall_on_larger_tables(spark, sf, options):
+    frame = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    assert recall(spark, frame, **options) >= 0.95
+
+
+def test_recall_over_several_bands_of_norm(spark):
+    """Norms from 1e-4 to 1e4: queries and rows of any norm are searched on the same sphere."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    scale = F.pow(F.lit(10.0), (F.col("vec_id") % 5 - 2) * 2)
+    own = F.transform("embedding", lambda x: x.cast("double") * F.when(F.col("vec_id") % 20 == 0, scale).otherwise(1.0))
+    assert recall(spark, frame.withColumn("embedding", own), shard_rows=200) >= 0.95
+    query = F.transform("embedding", lambda x: x.cast("double") * scale)
+    assert recall(spark, frame.withColumn("embedding", query), shard_rows=200) >= 0.95
+
+
 def test_recall_of_the_query(spark, data_dir):
     rows = spark.read.parquet(f"{data_dir}/embeddings.parquet").orderBy("vec_id").collect()
     ids, points = [r.vec_id for r in rows], np.array([r.embedding for r in rows], dtype=float)
