@@ -36,12 +36,14 @@ class Encoder:
     (tests); the rank file's is several times faster."""
 
     def __init__(self, vocabulary: str, ranks: dict[bytes, int], pattern: str):
-        self.full = Tokenizer.from_str(vocabulary)
-        self.full.encode_special_tokens = True
+        self.vocabulary, self.full = vocabulary, None
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
         if len(text) > LONG_TEXT and LONG_BLANK.search(text):
+            if self.full is None:
+                self.full = Tokenizer.from_str(self.vocabulary)
+                self.full.encode_special_tokens = True
             return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return self.fast.encode_to_numpy(text)
 
@@ -106,11 +108,16 @@ def token_statistics(width: str, vocabulary: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, entries, length = np.zeros(vocabulary, dtype=np.int64), 0, 0
+        seen, held = np.zeros((256, vocabulary), dtype=np.uint8), 0
         for batch in batches:
             for ids in batch.column(0):
                 own = np.frombuffer(ids.as_buffer(), dtype=width)
-                counts[np.unique(own)] += 1
-                entries, length = entries + 1, length + len(own)
+                if held == len(seen):
+                    counts += seen.sum(axis=0, dtype=np.int64)
+                    seen[:], held = 0, 0
+                seen[held, own] = 1
+                entries, length, held = entries + 1, length + len(own), held + 1
+        counts += seen.sum(axis=0, dtype=np.int64)
         tokens = np.flatnonzero(counts)
         columns = [np.append(tokens, -1), np.append(counts[tokens], entries), np.append(np.zeros(len(tokens), dtype=np.int64), length)]
         yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["token", "entries", "length"])
@@ -124,27 +131,41 @@ class Index:
     def __init__(self, entries: list[np.ndarray], idf: np.ndarray, mean: float):
         self.idf, self.size = idf, len(entries)
         lengths = np.array([len(e) for e in entries])
-        token = np.concatenate(entries).astype(np.int64)
-        pairs, times = np.unique(token * self.size + np.repeat(np.arange(self.size), lengths), return_counts=True)
-        self.entry = pairs % self.size
-        token = pairs // self.size
+        token = np.concatenate(entries)
+        # Stable, so the entries of a token stay in order; on 16 bits numpy sorts by digits.
+        order = np.argsort(token, kind="stable")
+        token, entry = token[order], np.repeat(np.arange(self.size, dtype=np.int32), lengths)[order]
+        new = np.ones(len(token), dtype=bool)
+        new[1:] = (token[1:] != token[:-1]) | (entry[1:] != entry[:-1])
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(token)))
+        token, self.entry = token[first], entry[first]
         scale = K1 * (1 - B + B * lengths[self.entry] / mean)
         self.weight = idf[token] * times * (K1 + 1) / (times + scale)
         self.at = np.searchsorted(token, np.arange(len(idf) + 1))
 
-    def ranked(self, ids: np.ndarray, terms: int, used: np.ndarray) -> np.ndarray:
-        """Unused entries that share one of the ``terms`` rarest tokens of ``ids``, by score; ties to the earlier."""
+    def scores(self, ids: np.ndarray, terms: int, used: np.ndarray) -> np.ndarray:
+        """What each entry scores for the ``terms`` rarest tokens of ``ids``; 0 where it is used or shares none."""
         own = np.unique(ids)
         own = own[self.at[own + 1] - self.at[own] > 0]
         own = own[np.argsort(-self.idf[own], kind="stable")[:terms]]
         spans = [slice(self.at[t], self.at[t + 1]) for t in own]
         if not spans:
-            return np.empty(0, dtype=np.int64)
+            return np.zeros(self.size)
         entry = np.concatenate([self.entry[s] for s in spans])
         score = np.bincount(entry, np.concatenate([self.weight[s] for s in spans]), minlength=self.size)
         score[used] = 0
+        return score
+
+    def ranked(self, ids: np.ndarray, terms: int, used: np.ndarray, first: int = 32) -> Iterator[int]:
+        """Unused entries that share one of the rarest tokens, by score; ties to the earlier. All but the ``first`` are
+        put in order only when they are asked for."""
+        score = self.scores(ids, terms, used)
         found = np.flatnonzero(score > 0)
-        return found[np.argsort(-score[found], kind="stable")]
+        least = np.partition(score[found], -first)[-first] if len(found) > first else 0
+        best = score[found] >= least
+        for some in (found[best], found[~best]):
+            yield from some[np.argsort(-score[some], kind="stable")].tolist()
 
 
 def pack_shard(entries: list[np.ndarray], idf: np.ndarray, mean: float, window: int, terms: int) -> list[list[tuple]]:
@@ -164,7 +185,7 @@ def pack_shard(entries: list[np.ndarray], idf: np.ndarray, mean: float, window:
             used[following] = True
         filled, space = [rest], window - (rest[2] - rest[1])
         seed, rest = entries[rest[0]], None
-        neighbours = iter(index.ranked(seed, terms, used)) if space else iter(())
+        neighbours = index.ranked(seed, terms, used) if space else iter(())
         while space:
             pick = next(neighbours, None)
             if pick is None:
@@ -173,7 +194,6 @@ def pack_shard(entries: list[np.ndarray], idf: np.ndarray, mean: float, window:
                 if following == len(entries):
                     break
                 pick = following
-            pick = int(pick)
             if used[pick]:
                 continue
             used[pick] = True
@@ -206,7 +226,8 @@ def powers_of_two(pieces: list[tuple], length: int) -> list[list[tuple]]:
 
 
 def packed_shards(statistics, window: int, terms: int, width: str, key: pa.DataType):
-    """Entries of a shard (key, start, ids, doc_tokens) to pieces (key, start, ids, doc_tokens, sequence, place)."""
+    """Entries of a shard (key, start, ids, doc_tokens) to pieces (key, start, ids, doc_tokens, sequence, place), with ids
+    of 32 bits."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "start", "ids", "doc_tokens", "sequence", "place"]
@@ -228,7 +249,7 @@ def packed_shards(statistics, window: int, terms: int, width: str, key: pa.DataT
             place = 0
             for entry, a, b in pieces:
                 ids = entries[entry][a:b]
-                rows.append((keys[entry], starts[entry] + a, ids.tobytes(), totals[entry], ((part << 31) + made) * 2, place))
+                rows.append((keys[entry], starts[entry] + a, ids.astype("<u4").tobytes(), totals[entry], ((part << 31) + made) * 2, place))
                 place += b - a
                 held += ids.nbytes
             if held > BATCH_BYTES:
@@ -292,19 +313,18 @@ def packed_sequences(
     routed = entries.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(shards, "like", "key", "_at")
     packing = packed_shards(statistics, window, terms, width, to_arrow_type(name))
     filled = routed.select("key", "start", "ids", "doc_tokens").mapInArrow(packing, kind + "sequence long, place long")
-    alone = pieces.filter("sequence IS NOT NULL").select("key", "start", "ids", "doc_tokens", "sequence", F.lit(0).cast("long").alias("place"))
-    both = filled.union(alone)
 
     @F.arrow_udf("binary")
     def widened(ids: pa.Array) -> pa.Array:
         return pa.array([np.frombuffer(i.as_buffer(), dtype=width).astype("<u4").tobytes() for i in ids], pa.binary())
 
-    bytes_an_id = np.dtype(width).itemsize
-    return both.select(
+    whole = pieces.filter("sequence IS NOT NULL")
+    alone = whole.select("key", "start", widened("ids").alias("ids"), "doc_tokens", "sequence", F.lit(0).cast("long").alias("place"))
+    return filled.union(alone).select(
         F.col("key").alias(key),
         "start",
-        F.floor(F.octet_length("ids") / bytes_an_id).cast("long").alias("length"),
-        widened("ids").alias("ids"),
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("length"),
+        "ids",
         "doc_tokens",
         F.col("sequence").alias("sequence_id"),
         F.col("place").alias("offset"),

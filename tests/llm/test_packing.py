@@ -118,11 +118,12 @@ def test_neighbours_share_the_window():
         score = sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(e) / 40)) for t in terms if (n := int((e == t).sum())))
         if score > 0 and not used[i]:
             want.append((-score, i))
-    got = index.ranked(entries[0], 8, used).tolist()
+    got = list(index.ranked(entries[0], 8, used, first=4))
+    assert got == list(index.ranked(entries[0], 8, used))
     assert len(got) == len(want) and set(got) == {i for _, i in want}
     assert [round(-s, 9) for s, _ in sorted(want)] == [round(-dict((i, s) for s, i in want)[i], 9) for i in got]
     window = [e for e, _, _ in packing.pack_shard(entries, idf, 40.0, 128, 8)[0]]
-    nearest = index.ranked(entries[0], 8, np.arange(30) == 0).tolist()
+    nearest = list(index.ranked(entries[0], 8, np.arange(30) == 0))
     assert window == [0, *nearest[:3]]
 
 
