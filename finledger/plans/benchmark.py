@@ -40,12 +40,20 @@ def sector_medians(long: DataFrame) -> DataFrame:
 def benchmark(stored_mart: DataFrame) -> DataFrame:
     """Every indicator against the overall and the sector median of its year.
 
-    A company without a sector has no sector median. The medians are few (years x sectors x indicators); they are
-    written first, so that the planner sees how small they are and does not shuffle the long table for them.
+    A company without a sector has no sector median. Both medians come from one sorting of the values, in which each
+    value stands for the whole and for its sector. They are few (years x sectors x indicators) and written first, so that
+    the planner sees how small they are and does not shuffle the long table for them.
     """
     long = unpivot_indicators(stored_mart)
-    overall = materialise(overall_medians(long), "overall_medians")
-    sector = materialise(sector_medians(long), "sector_medians")
+    scope = lambda name, sector: F.struct(F.lit(name).alias("_scope"), sector.alias("_sector"))
+    scopes = F.array(scope("all", F.lit(None).cast("string")), scope("sector", F.col("SETOR")))
+    values = long.select("ANO_FISCAL", "COD_INDICADOR", "VL_INDICADOR", F.inline(scopes))
+    medians = group_median(values, ["ANO_FISCAL", "COD_INDICADOR", "_scope", "_sector"], "VL_INDICADOR", "_median")
+    medians = materialise(medians, "medians")
+    overall = medians.filter("_scope = 'all'").select("ANO_FISCAL", "COD_INDICADOR", F.col("_median").alias("MEDIANA_GERAL_ANO"))
+    sector = medians.filter("_scope = 'sector'").select(
+        "ANO_FISCAL", F.col("_sector").alias("SETOR"), "COD_INDICADOR", F.col("_median").alias("MEDIANA_SETOR_ANO")
+    )
     joined = long.join(overall, ["ANO_FISCAL", "COD_INDICADOR"], "left").join(
         sector, ["ANO_FISCAL", "SETOR", "COD_INDICADOR"], "left"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finledger.operators.hierarchy import FILING, deepest_level
+from finledger.operators.hierarchy import FILING
 from finledger.operators.normalise import current_period, newest_lines, normalise_lines
 from finledger.operators.rows import newest_first, newest_row
 from finledger.plans import ledger
@@ -35,6 +35,11 @@ STATEMENT_TABLES = {
 }
 
 
+def chart_depth(code: str) -> int:
+    """Levels of a statement's accounts, by the chart that these lines are reported in: no look at the lines."""
+    return max(account.count(".") + 1 for account, *_ in ledger.CHART if ledger.GROUP_TABLE[account[0]] in STATEMENT_TABLES[code])
+
+
 def statement_lines(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
     """Newest lines of one statement, for a single reader: nothing is written, and other tables are not read past the
     scan. The newest filing is chosen per source table, so the choice of tables commutes with it."""
@@ -44,8 +49,17 @@ def statement_lines(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
 
 def repaired(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
     """Repaired balances of one statement, from the scan in one pass."""
-    deepest = deepest_level(raw_lines(spark, sf_dir).filter(F.col("TABLE_NAME").isin(STATEMENT_TABLES[code])))
-    return repaired_values(statement_lines(spark, sf_dir, code), code, deepest)
+    return repaired_values(statement_lines(spark, sf_dir, code), code, chart_depth(code))
+
+
+def repaired_below(spark: SparkSession, sf_dir: str, code: str, accounts: list[str]) -> DataFrame:
+    """Repaired balances of some accounts and those below them, from the scan in one pass. What happens to an account
+    depends on the accounts below it alone, so no other line is needed; accounts above are left out."""
+    below = F.lit(False)
+    for account in accounts:
+        below = below | (F.col("CD_CONTA") == account) | F.col("CD_CONTA").startswith(f"{account}.")
+    lines = statement_lines(spark, sf_dir, code).filter(below)
+    return repaired_values(lines, code, chart_depth(code)).filter(below)
 
 
 def bronze_by_filing(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
@@ -57,7 +71,7 @@ def bronze_by_filing(spark: SparkSession, sf_dir: str, buckets: int | None = Non
 def repaired_in_place(bronze: DataFrame, registry: DataFrame, code: str) -> DataFrame:
     """Repaired balances of one statement from lines stored by filing."""
     lines = bronze.filter(F.col("TABLE_NAME").isin(STATEMENT_TABLES[code]))
-    return repaired_values(newest_lines(lines, registry, placed=True), code, deepest_level(lines), placed=True)
+    return repaired_values(newest_lines(lines, registry, placed=True), code, chart_depth(code), placed=True)
 
 
 def repaired_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,7 +177,7 @@ def score_peer_rank(spark, sf):
 def score_peer_rank_distributed(spark, sf):
     """The same ranks over the stored mart."""
     scored = benchmark.risk_scores(lake.stored_mart(spark, sf)).select(*benchmark.LONG_KEYS, "SCORE_IPRF", "FAIXA_IPRF")
-    return report(benchmark.score_peers(scored), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
+    return report(benchmark.score_peers(materialise(scored, "scores")), [], ["SCORE_IPRF", "MEDIANA_IPRF_SETOR_ANO"], places=9)
 
 
 def score_history(spark, sf):

@@ -174,9 +174,7 @@ def _values(spark, sf, code):
 
 
 def _repaired(spark, sf, code):
-    statement = curation.STATEMENTS[code]
-    deepest = hierarchy.deepest_level(lake.raw_lines(spark, sf).filter(F.col("TABLE_NAME").isin(lake.STATEMENT_TABLES[code])))
-    return curation.repaired_statement(_extract(spark, sf, code), statement, deepest)
+    return curation.repaired_statement(_extract(spark, sf, code), curation.STATEMENTS[code], lake.chart_depth(code))
 
 
 def hierarchy_rollup_safe(spark, sf):
@@ -351,8 +349,9 @@ def cash_identity(spark, sf):
 
 
 def cash_reconciliation(spark, sf):
-    lines = lake.silver_lines(spark, sf)
-    checked = audit.cash_reconciliation(curation.repaired_values(lines, "DFC"), curation.repaired_values(lines, "BP"))
+    closing = lake.repaired_below(spark, sf, "DFC", ["6.05.02"])
+    cash = lake.repaired_below(spark, sf, "BP", ["1.01.01", "1.01.02"])
+    checked = audit.cash_reconciliation(closing, cash)
     return report(checked, ["DFC_6_05_02", "BP_1_01_01", "BP_1_01_02", "BP_TETO"])
 
 
