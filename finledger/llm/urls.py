@@ -28,6 +28,8 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Letters of the longest label that DNS allows: no word of a host is longer.
 LABEL = 63
+# Letters whose words are looked up together, with as many more as a word may reach beyond them.
+STRETCH = 64
 SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -81,21 +83,30 @@ def best_split(label: str, known: dict[tuple[int, int], float], unknown: float)
 
 def segmented(hosts: DataFrame, counts: DataFrame, longest: int) -> DataFrame:
     """(host, words): the words of each distinct host; its labels and hyphenated parts are split one by one."""
+    counts = materialise(counts, "counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     parts = hosts.select("host", F.posexplode(F.split("host", r"[.\-]")).alias("at", "label"))
-    labels = parts.select("label").filter(F.length("label") > 0).distinct()
+    # A label goes by its digest, and its spots are looked up stretch by stretch: it may be as long as a text.
+    labels = parts.select("label").filter(F.length("label") > 0).distinct().withColumn("id", F.md5("label"))
+
+    @F.pandas_udf("array<string>")
+    def stretches(names: pd.Series) -> pd.Series:
+        return names.map(lambda n: [n[a : a + STRETCH + longest - 1] for a in range(0, len(n), STRETCH)])
+
+    cut = labels.select("id", F.posexplode(stretches("label")).alias("part", "stretch"))
+    before = F.col("part") * STRETCH - 1
     spots = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), F.length("label")),
+            F.sequence(F.lit(1), F.least(F.lit(STRETCH), F.length("stretch"))),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.length("label") - i + 1)),
-                lambda size: F.struct((i - 1).alias("start"), (i - 1 + size).alias("end"), F.substring(F.col("label"), i, size).alias("word")),
+                F.sequence(F.lit(1), F.least(F.lit(longest), F.length("stretch") - i + 1)),
+                lambda size: F.struct((before + i).alias("start"), (before + i + size).alias("end"), F.substring(F.col("stretch"), i, size).alias("word")),
             ),
         )
     )
-    pieces = labels.select("label", F.inline(spots))
+    pieces = cut.select("id", F.inline(spots))
     cost = -F.log(F.col("n") / float(max(1, total)))
-    known = pieces.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("start", "end", cost.alias("cost"))).alias("known"))
+    known = pieces.join(counts, "word").groupBy("id").agg(F.collect_list(F.struct("start", "end", cost.alias("cost"))).alias("known"))
     unknown = log(max(2, total)) * 1.5
 
     @F.pandas_udf("array<string>")
@@ -107,7 +118,7 @@ def segmented(hosts: DataFrame, counts: DataFrame, longest: int) -> DataFrame:
                 rows.append(best_split(name, found, unknown))
             yield pd.Series(rows, dtype=object)
 
-    words = labels.join(known, "label", "left").select("label", split("label", "known").alias("words"))
+    words = labels.join(known, "id", "left").select("label", split("label", "known").alias("words"))
     joined = parts.join(words, "label", "left")
     order = F.array_sort(F.collect_list(F.struct("at", F.coalesce("words", F.array().cast("array<string>")).alias("words"))))
     return joined.groupBy("host").agg(F.flatten(F.transform(order, lambda x: x["words"])).alias("words"))

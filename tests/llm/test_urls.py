@@ -111,3 +111,20 @@ def test_long_words_of_a_host_stay_whole(spark):
     limit = inspect.signature(urls.judge).parameters["longest"].default
     counts = urls.word_counts(pages, "html", limit)
     assert urls.segmented(hosts, counts, limit).first().words[:2] == [word, "guide"]
+
+
+def test_very_long_host(spark):
+    """A label of two hundred thousand letters is split like any other: words across the stretches are found."""
+    words = ["river", "stone", "bridge", "q"]
+    name = "".join(words[i * i * 7 % 11 % 4] for i in range(50000))
+    hosts = spark.createDataFrame([(f"www.{name}.com",), ("riverstone.net",), ("",)], "host string")
+    counts = spark.createDataFrame([("river", 30), ("stone", 20), ("bridge", 10), ("www", 5)], "word string, n long")
+    found = {r.host: r.words for r in urls.segmented(hosts, counts, urls.LABEL).collect()}
+    assert found["riverstone.net"] == ["river", "stone", "net"]
+    long = found[f"www.{name}.com"]
+    assert "".join(long) == f"www{name}com" and long[0] == "www" and long[-1] == "com"
+    assert Counter(long)["bridge"] == sum(i * i * 7 % 11 % 4 == 2 for i in range(50000))
+    total = 65
+    known = {(m.start(), m.end()): -math.log(n / total) for w, n in (("river", 30), ("stone", 20), ("bridge", 10)) for m in re.finditer(w, name[:3000])}
+    part = urls.best_split(name[:3000], known, math.log(total) * 1.5)
+    assert long[1 : len(part) - 2] == part[: len(part) - 3]
