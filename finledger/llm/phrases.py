@@ -25,8 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from finledger.operators.distribution import group_positions
 from finledger.session import materialise
 
 PIECES = re.compile(rb"[.,;:!?\x0a-\x0d]")
@@ -424,7 +424,8 @@ def scored(phrases: DataFrame, totals: DataFrame, share: int = 100) -> DataFrame
 
 
 def top_collocations(found: DataFrame, limit: int = 2000) -> DataFrame:
-    """The first ``limit`` of each language by score, count and phrase (byte order), with their rank."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= limit)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    """The first ``limit`` of each language by score, count and phrase (byte order), with their rank. A language is put in
+    order by many tasks."""
+    falling = found.withColumns({"_score": -F.col("score"), "_a": -F.col("a")})
+    ranked = group_positions(falling, ["lang"], ["_score", "_a", "phrase"], "rank", limit)
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
