@@ -16,6 +16,7 @@ chosen by their products with the query, and scored on the original vectors in d
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,8 @@ from finledger.session import materialise
 LEAF = 128
 # Powers of two of the largest component in a band of norms.
 BAND = 10
+# Pairs of a shard and a block that are tasks of their own; beyond them a task takes several, one after the other.
+TASKS = 20000
 # What rounding adds to distances near 0, for norms about 1.
 SLACK = 1e-7
 
@@ -234,8 +237,7 @@ def nearest(
     asked = materialise(asked.applyInPandas(block_of, "block int, query_ids binary, queries binary"), "blocks")
     trees = materialise(trees, "shards").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        row = group.iloc[0]
+    def search(row: dict) -> pd.DataFrame:
         ids, query_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
         own, asked = _matrix(row["vectors"], len(ids)), _matrix(row["queries"], len(query_ids))
         exponent, exponents = np.frexp(np.abs(own).max())[1], np.frexp(np.abs(asked).max(axis=1))[1]
@@ -253,8 +255,15 @@ def nearest(
             score = np.ldexp(score, exponents[q].astype(np.int64) + exponent)
         return pd.DataFrame({"query_id": query_ids[q], "id": ids[picks], "score": score})
 
-    met = trees.join(asked, "block").groupBy("shard", "block")
-    found = met.applyInPandas(search, T.StructType.fromDDL("query_id long, id long, score double"))
+    def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                yield search(row)
+
+    # The work is in the search, not in the bytes: each pair of a shard and a block is a task, as far as there are tasks.
+    pairs = trees.join(asked, "block").withColumn("pair", F.col("shard") * blocks + F.col("block"))
+    dealt = pairs.repartitionById(max(1, min(TASKS, start * blocks)), "pair")
+    found = dealt.mapInPandas(searched, T.StructType.fromDDL("query_id long, id long, score double"))
     first = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(key), "score")
