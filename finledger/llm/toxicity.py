@@ -32,6 +32,7 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, WEAK, END = range(8)
 SYMBOLS = 8
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
+# Words of a stretch: what a clause counts as; the grammar reads on from one stretch of a sentence to the next.
 CLAUSE = 40
 CHARS = 1 << 20
 PREFIXES = (3, 4, 5, 6, 7)
@@ -130,7 +131,8 @@ FIXED = {word: symbol for symbol, words in WORDS.items() for word in words.split
 def clause_features(texts: list[str], lexicon: dict[str, float], machine: Transducer) -> np.ndarray:
     """A row for each text: weight of all matched clauses, clauses, matched clauses, strongest clause, words.
 
-    Clauses end at ``. ! ? ;`` or a line end, and after ``CLAUSE`` words.
+    Clauses end at ``. ! ? ;`` or a line end; of a longer sentence every ``CLAUSE`` words count as one, and what was read
+    in one still holds in the next.
     """
     out = np.zeros((len(texts), 5))
     start = 0
@@ -173,27 +175,28 @@ def _documents(symbols: np.ndarray, strength: np.ndarray, marks: np.ndarray, mac
         return out
     new = np.concatenate([[True], (np.diff(sentence[at]) != 0) | (np.diff(piece[at]) != 0)])
     clause = np.cumsum(new) - 1
-    firsts = np.flatnonzero(new)
-    owner = doc[at[firsts]]
+    owner = doc[at[new]]
     out[:, 1] = np.bincount(owner, minlength=n)
+    begins = np.concatenate([[True], np.diff(sentence[at]) != 0])
+    firsts, spoken = np.flatnonzero(begins), np.cumsum(begins) - 1
     sizes = np.diff(np.append(firsts, len(at)))
-    live = np.unique(clause[np.isin(symbols[at], (INSULT, THREAT))])
+    live = np.unique(spoken[np.isin(symbols[at], (INSULT, THREAT))])
     if not len(live):
         return out
-    width = int(sizes[live].max())
-    columns = np.arange(width)
-    inside = columns < sizes[live][:, None]
-    places = at[np.minimum(firsts[live][:, None] + columns, len(at) - 1)]
-    read = np.where(inside, symbols[places], OTHER)
-    power = np.where(inside, strength[places], 1.0)
-    state, total = np.zeros(len(live), dtype=np.int64), np.zeros(len(live))
-    for c in range(width):
-        total += machine.weight[state, read[:, c]] * power[:, c] * inside[:, c]
-        state = machine.to[state, read[:, c]]
-    holders = owner[live]
-    out[:, 0] = np.bincount(holders, weights=total, minlength=n)
-    out[:, 2] = np.bincount(holders, weights=total > 0.5, minlength=n)
-    np.maximum.at(out[:, 3], holders, total)
+    # All sentences read their next word together; the longer ones go on alone.
+    live = live[np.argsort(-sizes[live], kind="stable")]
+    begin, left = firsts[live], sizes[live]
+    state, gained = np.zeros(len(live), dtype=np.int64), np.zeros(len(at))
+    for c in range(int(left[0])):
+        m = int(np.searchsorted(-left, -c, "left"))
+        place = begin[:m] + c
+        read = symbols[at[place]]
+        gained[place] = machine.weight[state[:m], read] * strength[at[place]]
+        state[:m] = machine.to[state[:m], read]
+    total = np.bincount(clause, weights=gained)
+    out[:, 0] = np.bincount(owner, weights=total, minlength=n)
+    out[:, 2] = np.bincount(owner, weights=total > 0.5, minlength=n)
+    np.maximum.at(out[:, 3], owner, total)
     return out
 
 

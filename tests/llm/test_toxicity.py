@@ -22,6 +22,15 @@ def test_clauses_not_words():
     assert weight("never mind. idiot")[0] == plain
 
 
+def test_long_sentences_are_read_on():
+    """Target, negation and report hold over any number of words, as in a short sentence."""
+    for gap in (0, 1, 38, 39, 40, 45, 90, 3000):
+        assert weight("kill " + "word " * gap + "you")[0] == weight("kill you")[0] == 1.7
+        assert weight("word " * gap + "do not kill them")[0] == weight("do not kill them")[0]
+        assert weight("word " * gap + "she said some idiot came")[0] == weight("she said some idiot came")[0]
+        assert weight("you " + "word " * gap + "idiot")[0] == weight("you word idiot")[0]
+
+
 def test_composition_is_running_one_after_the_other():
     rng = np.random.default_rng(3)
     parts = [t.scoped(t.NEGATION, 3), t.scoped(t.REPORT, 8), t.matcher(t.INSULT, 1.0, 0.5), t.matcher(t.WEAK, 0.2, 0.0)]
