@@ -53,7 +53,8 @@ def prefer_reported(spark, sf):
     extract = materialise(curation.statement_extract(lake.statement_lines(spark, sf, "DRE"), curation.STATEMENTS["DRE"]), "extract")
     keys = ["CNPJ_CIA", "DT_REFER", "CD_CONTA", "VL_CONTA_TRATADO"]
     reported = hierarchy.collapse_accounts(extract).select(*keys, F.lit(False).alias("FLAG_RECONSTRUCAO"))
-    repaired = curation.repaired_statement(extract, curation.STATEMENTS["DRE"], hierarchy.deepest_level(extract))
+    deepest, lines = hierarchy.tree_size(extract)
+    repaired = curation.repaired_statement(extract, curation.STATEMENTS["DRE"], deepest, rows=lines)
     rebuilt = repaired.filter(F.col("ACAO").isin("filled", "forced", "inserted")).select(*keys, F.lit(True).alias("FLAG_RECONSTRUCAO"))
     return report(mart.prefer_reported(reported.unionByName(rebuilt)), ["VL_CONTA_TRATADO"])
 

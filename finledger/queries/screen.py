@@ -37,7 +37,7 @@ def indicator_mart_simple(spark, sf):
 
 
 def mart_outer_assembly(spark, sf):
-    lines = lake.silver_lines(spark, sf)
+    lines = lake.silver_lines(spark, sf, curation.VALUE_COLUMNS)
     parts = [curation.repaired_values(lines, code) for code in ("BP", "DRE", "DFC")]
     wide = mart.assemble_simple(*parts, lake.companies(spark, sf))
     return report(wide, [c for c in wide.columns if c.startswith("V")])
