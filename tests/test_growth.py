@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finledger.operators import hierarchy
 from finledger.plans import curation, lake
+from finledger.queries import gold
 
 DAY = datetime.date(2020, 12, 31)
 
@@ -48,3 +49,14 @@ def test_values_need_only_their_columns_stored(spark, data_dir):
     for code in curation.STATEMENTS:
         one, other = (sorted(map(repr, curation.repaired_values(x, code).collect())) for x in (narrow, wide))
         assert one == other and one
+
+
+def test_earlier_lines_come_from_one_scan(spark, data_dir):
+    rows = [(y, 1, 10.0) for y in (None, 2000, 2001, 2002, 2003, 2003)]
+    lines = spark.createDataFrame(rows, "DT_FIM_EXERC_ANO int, VERSAO int, v double")
+    lines = lines.select("DT_FIM_EXERC_ANO", "VERSAO", F.col("v").cast("decimal(28,6)").alias("VL_CONTA_TRATADO"))
+    found = sorted((r[0], r[1], float(r[2])) for r in gold._earlier(lines).collect())
+    assert found == [(2001, 1, 10.0), (2001, 2, 30.0), (2002, 1, 10.0), (2003, 1, 10.0), (2003, 1, 10.0), (2102, 1, 10.0)]
+    assert gold._earlier(lines).schema["VL_CONTA_TRATADO"].dataType == lines.schema["VL_CONTA_TRATADO"].dataType
+    plan = plan_of(gold._earlier(lake.typed_lines(spark, data_dir)))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 1
