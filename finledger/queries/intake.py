@@ -44,6 +44,8 @@ def scan_delimited(spark, sf):
 
 
 DAMAGED = "dfp_cia_aberta_dra_con"
+# Lines of an archive at least, where a task has as many: members of some thousand lines, not of some hundred.
+ARCHIVE_LINES = 1 << 16
 
 
 def _container(members: list[tuple[str, pd.DataFrame]], damage: bool = False) -> bytes:
@@ -65,8 +67,20 @@ def _container(members: list[tuple[str, pd.DataFrame]], damage: bool = False) ->
     return bytes(content)
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches put together until they have the lines of an archive."""
+    held, lines = [], 0
+    for batch in batches:
+        held, lines = [*held, batch], lines + len(batch)
+        if lines >= ARCHIVE_LINES:
+            yield pd.concat(held, ignore_index=True)
+            held, lines = [], 0
+    if lines:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _write_archives(spark: SparkSession, sf: str, folder: str, damaged: bool) -> None:
-    """Archives in the shared folder, one per Arrow batch of lines, one member per table and year.
+    """Archives in the shared folder, one for some Arrow batches of lines, one member per table and year.
 
     Some members have their columns in another order, some have one more. With ``damaged`` the members of one table are
     in archives of their own, with bad data, and there are archives without members. A repeated task overwrites its files.
@@ -75,7 +89,7 @@ def _write_archives(spark: SparkSession, sf: str, folder: str, damaged: bool) ->
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, place = FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(_gathered(batches)):
             members = [(name, rows[RAW]) for name, rows in batch.groupby("ARQUIVO")]
             bad = [m for m in members if damaged and m[0].startswith(DAMAGED)]
             archives = {"dfp": _container([m for m in members if m not in bad] if bad else members)}

@@ -143,10 +143,15 @@ def _with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(rows: DataFrame, found: int, size: int = 0) -> DataFrame:
-    """Rows dealt out evenly: one to a task, or so many that all cores have several tasks and none has too many bytes."""
+    """Rows dealt out evenly: one to a task, or so many that all cores have several tasks and none has too many bytes.
+
+    Members of an archive stay with their neighbours, so a table laid out by archive gets a file or a few for each, not one
+    from every task.
+    """
     session = rows.sparkSession
     largest = int(session._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return rows.repartition(max(1, min(found, max(4 * session.sparkContext.defaultParallelism, -(-size // largest)))))
+    parts = max(1, min(found, max(4 * session.sparkContext.defaultParallelism, -(-size // largest))))
+    return rows.repartitionByRange(parts, *[c for c in ("path", "inicio") if c in rows.columns])
 
 
 def planned(files: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime
 import re
+import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from finledger.operators import hierarchy
 from finledger.plans import curation, lake
-from finledger.queries import gold
+from finledger.queries import gold, intake
+from finledger.sources import members, ranges
 
 DAY = datetime.date(2020, 12, 31)
 
@@ -60,3 +63,24 @@ def test_earlier_lines_come_from_one_scan(spark, data_dir):
     assert gold._earlier(lines).schema["VL_CONTA_TRATADO"].dataType == lines.schema["VL_CONTA_TRATADO"].dataType
     plan = plan_of(gold._earlier(lake.typed_lines(spark, data_dir)))
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)) == 1
+
+
+def test_archives_hold_many_batches(monkeypatch):
+    monkeypatch.setattr(intake, "ARCHIVE_LINES", 5)
+    batches = [pd.DataFrame({"n": [i, i]}) for i in range(7)]
+    found = [list(b["n"]) for b in intake._gathered(iter(batches))]
+    assert found == [[0, 0, 1, 1, 2, 2], [3, 3, 4, 4, 5, 5], [6, 6]]
+    assert list(intake._gathered(iter([]))) == []
+
+
+def test_members_of_an_archive_are_read_by_few_tasks(spark, tmp_path):
+    """Else a table laid out by archive has a file from every task for every archive."""
+    for a in range(8):
+        with zipfile.ZipFile(tmp_path / f"a{a}.zip", "w") as archive:
+            for m in range(32):
+                archive.writestr(f"m{m}.csv", "CD_CONTA\n1\n")
+    plan = members.planned(ranges.listed(spark, str(tmp_path), "*.zip"))
+    dealt = members._dealt(plan, 256).withColumn("p", F.spark_partition_id())
+    assert dealt.count() == 256 and dealt.select("p").distinct().count() > 8
+    pieces = dealt.select("arquivo", "p").distinct().count()
+    assert pieces <= 8 + 16
