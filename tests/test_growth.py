@@ -39,6 +39,30 @@ def test_repair_is_dealt_by_its_lines(spark, monkeypatch):
     assert many.count() > lines.count()
 
 
+def test_levels_share_one_sort(spark):
+    """Each sort holds a page of its own for as long as the task runs, so one for each level is memory by depth."""
+    lines = accounts(spark).withColumn("CD_CONTA_QTD_DIGITOS", hierarchy.digits("CD_CONTA"))
+    collapsed = hierarchy.collapse_accounts(lines)
+    plans = [plan_of(hierarchy.roll_up(collapsed, "safe", 2, deepest)) for deepest in (2, 5)]
+    sorts = [len(re.findall(r"^\(\d+\) Sort$", p, flags=re.M)) for p in plans]
+    windows = [len(re.findall(r"^\(\d+\) Window$", p, flags=re.M)) for p in plans]
+    assert sorts[0] == sorts[1] and windows[0] < windows[1]
+
+
+def test_codes_that_sort_between_an_account_and_those_below_it(spark):
+    codes = {"1": 0, "1.01": 0, "1.01-5": 3, "1.01 ": 4, "1.01.01": 5, "1.01.01.2": 7, "1.01/": 8, "1.01-5.1": 9, "1.02.": 2, "1.010.1": 6}
+    rows = [("a", DAY, c, float(v)) for c, v in codes.items()] + [(None, None, c, float(v)) for c, v in codes.items()]
+    lines = spark.createDataFrame(rows, "CNPJ_CIA string, DT_REFER date, CD_CONTA string, v double")
+    lines = lines.select("*", F.lit("x").alias("DENOM_CIA"), F.col("v").cast("decimal(28,6)").alias("VL_CONTA_TRATADO")).drop("v")
+    collapsed = hierarchy.collapse_accounts(lines.withColumn("CD_CONTA_QTD_DIGITOS", hierarchy.digits("CD_CONTA")))
+    for company in ("a", None):
+        found = hierarchy.roll_up(collapsed, "force", 2).filter(F.col("CNPJ_CIA").eqNullSafe(F.lit(company))).collect()
+        value = {r.CD_CONTA: float(r.VL_CONTA_TRATADO) for r in found}
+        assert value["1.01.01"] == 7 and value["1.01"] == 7 and value["1.01-5"] == 9 and value["1.010"] == 6
+        assert value["1"] == 7 + 9 + 4 + 8 + 6
+        assert {r.CD_CONTA: r.ACAO for r in found}["1.010"] == "inserted"
+
+
 def test_values_are_repaired_without_names_and_metadata(spark, data_dir):
     lines = lake.silver_lines(spark, data_dir)
     read = re.search(r"ReadSchema: struct<([^>]*)>", plan_of(curation.repaired_values(lines, "DRE", 4))).group(1)
