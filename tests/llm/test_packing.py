@@ -93,6 +93,15 @@ def test_odd_rows(spark, tokenizer):
         packed(spark, rows, window=100)
 
 
+def test_texts_are_not_searched_for_empty_special_tokens(tokenizer):
+    """With no special token the library stops at every character; the one it has instead is ordinary text."""
+    with open(FILES[0], encoding="utf-8") as file:
+        encode = packing.Encoder(file.read(), packing.read_ranks(FILES[1]), public_tokenizers.PATTERN)
+    assert encode.fast.special_tokens_set == {packing.UNUSED}
+    for text in ("", "plain words", packing.UNUSED, f"a {packing.UNUSED}b é𝄞{packing.UNUSED * 3}", "<|\x00", "'s it's 12  \n\n x  "):
+        assert [*encode(text), 1] == ids_of(tokenizer, text) and encode(text).max(initial=0) < encode.fast.n_vocab - 1
+
+
 def test_copies_fill_many_shards(spark, tokenizer):
     rows = [(i, "the same text of some words, again and again.") for i in range(500)] + [(1000 + i, f"text {i} " * 9) for i in range(40)]
     want = {key: [ids_of(tokenizer, text)] for key, text in rows}
